@@ -229,8 +229,8 @@ def automaton(path: str) -> TokenAutomaton:
     return TokenAutomaton.from_file(path)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(id, ids array<int>) of every row: its whole text, encoded. A null text is as an empty one and
+def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", id_col: str = "doc_id", ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, kept columns, ids array<int>) of every row: its whole text, encoded. A null text is as an empty one and
     gets an empty array. No shuffle. Repeated rows come out repeated; other columns don't matter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,10 +239,11 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", id_col:
             packed = [*machine.encode_packed(texts)]
             offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-            yield pa.RecordBatch.from_arrays([part.column("id"), ids], names=[id_col, ids_col])
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[id_col, *keep, ids_col])
 
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(run, f"`{id_col}` {chosen.schema['id'].dataType.simpleString()}, `{ids_col}` array<int>")
+    chosen = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"), *(F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)))
+    fields = [f"`{name}` {field.dataType.simpleString()}" for name, field in zip([id_col, *keep], chosen.schema.fields[1:], strict=True)]
+    return chosen.mapInArrow(run, ", ".join([*fields, f"`{ids_col}` array<int>"]))
 
 
 def bpe_decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,7 +6,8 @@ import posixpath
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -63,3 +64,17 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def content_key(id_col: str, text_col: str) -> Column:
+    """A 64-bit hash of a row's id and text."""
+    return F.xxhash64(id_col, F.col(text_col).cast("string"))
+
+
+def kept_once(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs whose content_key is among kept(key), with all their columns; of rows that repeat
+    an id and a text one. One shuffle of docs: the window reuses the join's partitioning."""
+    key, theirs, place = free_names(docs, "content_key", "kept_key", "kept_place")
+    joined = docs.withColumn(key, content_key(id_col, text_col)).join(kept.select(F.col("key").alias(theirs)).distinct(), F.col(key) == F.col(theirs), "left_semi")
+    ranked = joined.withColumn(place, F.row_number().over(Window.partitionBy(key, id_col, text_col).orderBy(key)))
+    return ranked.where(F.col(place) == 1).select(*docs.columns)
