@@ -1,0 +1 @@
+"""linkloom: record linkage and list evaluation as Spark plans."""
