@@ -37,7 +37,11 @@ def md5_int(value: Column, digits: int = 8) -> Column:
 def simhash(grams: Column, bits: int = 32) -> Column:
     """Similarity hash: bit b is 1 if at least half of the grams' md5 hashes have it; 0 without grams."""
     hashes = F.transform(grams, lambda g: md5_int(g))
-    total = [F.aggregate(hashes, F.lit(0), lambda s, h, b=b: s + (F.when(h.bitwiseAND(1 << b) != 0, 1).otherwise(-1))) for b in range(bits)]
+
+    def votes(bit: int) -> Column:
+        return F.aggregate(hashes, F.lit(0), lambda s, h: s + F.when(h.bitwiseAND(1 << bit) != 0, 1).otherwise(-1))
+
+    total = [votes(b) for b in range(bits)]
     value = sum((F.when(t >= 0, F.lit(1 << b)).otherwise(F.lit(0)) for b, t in enumerate(total)), F.lit(0).cast("long"))
     return F.when(F.size(grams) == 0, F.lit(0).cast("long")).otherwise(value)
 

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Latin letters that aren't a base letter with marks, and what they become.
 LETTER_PAIRS = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "þ": "th", "ł": "l", "ı": "i"}
@@ -48,7 +49,7 @@ def fold_latin(s: Column) -> Column:
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def romanised(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Letters of other scripts spelled by their Unicode names: a consonant's inherent vowel goes before a
     vowel sign or virama."""
@@ -145,7 +146,7 @@ def number_set(normed: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(normed, F.lit("([0-9]+)")), without_zeros)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compatible_folded(texts: pd.Series) -> pd.Series:
     """NFKC and case folding."""
     return texts.map(lambda x: x if x.isascii() and x.islower() else unicodedata.normalize("NFKC", x).casefold(), na_action="ignore")
