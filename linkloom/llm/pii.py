@@ -96,7 +96,7 @@ class Pseudonyms:
     def _phone(self, text: str, back: bool) -> str | None:
         digits = re.sub(r"\D", "", text)
         plus = re.match(r"\+(\d{1,3})(?=[ .(-])", text)
-        if not 8 <= len(digits) <= 15 or not (text.startswith("+") or "(" in text or len(digits) >= 10 and re.search("[ .-]", text)):
+        if not 8 <= len(digits) <= 15 or not (text.startswith("+") or "(" in text or re.fullmatch(r"\d{3}([ .-])\d{3}\1\d{4}", text)):
             return None
         lead = len(plus[1]) if plus else 2 if text.startswith("+") else 0
         return _placed(text, digits[:lead] + self._digits(digits[lead:], f"phone {digits[:lead]}", back))

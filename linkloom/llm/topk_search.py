@@ -92,17 +92,17 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, tile_vectors:
     integer inner product but itself, all if there are fewer; ties go to the smaller vec_id.
 
     Vectors of unequal length count as padded with zeros. Repeated ids of candidates are separate
-    candidates, of queries separate results with shared ranks. Empty tables give no rows. Scores
+    candidates; a repeated query is asked once, and different vectors of one query id are ranked apart. Empty tables give no rows. Scores
     must fit in 64 bits.
     """
-    vectors, asked = written(candidates, "topk-vectors"), written(queries, "topk-queries")
+    vectors, asked = written(candidates, "topk-vectors"), written(queries.distinct().withColumn("q", F.monotonically_increasing_id()), "topk-queries")
     rows, cols = max(1, -(-vectors.count() // tile_vectors)), max(1, -(-asked.count() // tile_queries))
     tile = lambda n: F.pmod(F.xxhash64(F.lit("tile"), "vec_id"), F.lit(n)).cast("int")
     left = vectors.withColumn("r", tile(rows)).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
     right = asked.withColumn("c", tile(cols)).withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
 
     def search(key: tuple, own: pa.Table, wanted: pa.Table) -> pa.Table:
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        found: list[tuple[np.ndarray, ...]] = []
         if own.num_rows and wanted.num_rows:
             width = max(pa.compute.max(pa.compute.list_value_length(t["v"])).as_py() for t in (own, wanted))
             matrix, queries_ = _matrix(own["v"], width), _matrix(wanted["v"], width)
@@ -110,12 +110,12 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, tile_vectors:
             if most < _EXACT:
                 matrix, queries_ = matrix.astype(float), queries_.astype(float)
             lists = Lists(own["vec_id"].to_numpy(), matrix)
-            for query_id, query in zip(wanted["vec_id"].to_pylist(), queries_, strict=True):
+            for q, query_id, query in zip(wanted["q"].to_pylist(), wanted["vec_id"].to_pylist(), queries_, strict=True):
                 at, scores = lists.top(query, query_id, k)
-                found.append((np.full(len(at), query_id), lists.ids[at], scores.astype(np.int64)))
-        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
-        return pa.table(columns, names=["query_id", "vec_id", "score"])
+                found.append((np.full(len(at), q), np.full(len(at), query_id), lists.ids[at], scores.astype(np.int64)))
+        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 4
+        return pa.table(columns, names=["q", "query_id", "vec_id", "score"])
 
-    found = left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInArrow(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInArrow(search, "q long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
