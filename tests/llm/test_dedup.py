@@ -114,6 +114,7 @@ def test_near_components(spark, words):
 
 def test_small_tiles_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "TILE", 3)
+    monkeypatch.setattr(near_dedup, "TILE_SHINGLES", 200)
     rows = near_rows()
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), NearConfig(shingle_words=2))
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute_components(rows, 2, 4, 5)

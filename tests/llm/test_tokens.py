@@ -47,7 +47,6 @@ def test_automaton_table_equals_its_states():
 def test_small_memo_still_encodes_all(monkeypatch):
     machine = bpe_automaton.TokenAutomaton.from_file(BYTE)
     machine.memo.entries = 3
-    machine._words.entries = 2
     library = Tokenizer.from_file(BYTE)
     texts = odd_texts(200)
     got = [np.frombuffer(x, "<u4").tolist() for k in range(0, len(texts), 7) for x in machine.encode_packed(texts[k : k + 7])]
