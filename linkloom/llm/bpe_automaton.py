@@ -88,7 +88,6 @@ class TokenAutomaton:
         self._mark = os.path.commonprefix([*self.special])[:1]
         self._split = regex.compile(SPLIT).findall
         self._cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
-        self._words = Memo(lambda words: map(self.word_bytes, words))
 
     @classmethod
     def from_file(cls, path: str) -> TokenAutomaton:
@@ -186,23 +185,15 @@ class TokenAutomaton:
 
     def _chunks(self, chunks: list[str]) -> Iterator[bytes]:
         """Tokens, packed, of each chunk: special strings first, then pre-split words."""
-        split = []
+        special = {s: np.array([t], "<u4").tobytes() for s, t in self.special.items()}
         for chunk in chunks:
             words: list[str] = []
-            for part in self._cut(chunk) if self._cut and self._mark in chunk and any(s in chunk for s in self.special) else [chunk]:
-                if part in self.special:
+            for part in self._cut(chunk) if self._cut and self._mark in chunk else [chunk]:
+                if part in special:
                     words.append(part)
                 elif part:
                     words += self._split(part)
-            split.append(words)
-        special = {s: np.array([t], "<u4").tobytes() for s, t in self.special.items()}
-        several = [[w for w in words if w not in special] if len(words) > 1 else [] for words in split]
-        for words, values in zip(split, self._words.values(several), strict=True):
-            value = iter(values)
-            if len(words) == 1 and words[0] not in special:
-                yield self.word_bytes(words[0])
-            else:
-                yield b"".join(special[w] if w in special else next(value) for w in words)
+            yield b"".join(special[w] if w in special else self.word_bytes(w) for w in words)
 
     @property
     def memo(self) -> Memo:
@@ -210,13 +201,12 @@ class TokenAutomaton:
             self._memo = Memo(self._chunks)
         return self._memo
 
-    def encode_packed(self, texts: list[str]) -> Iterator[bytes]:
+    def encode_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        for values in self.memo.values([space_led(x) for x in texts]):
-            yield b"".join(values)
+        return self.memo.packed(texts, space_led)
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(next(self.encode_packed([text])), "<u4").tolist()
+        return np.frombuffer(self.encode_packed([text])[0], "<u4").tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         """The labels of the arcs, one after the other; bytes that aren't UTF-8 become U+FFFD."""
@@ -236,7 +226,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(vocabulary)
         for part, texts in text_slices(batches, "text"):
-            packed = [*machine.encode_packed(texts)]
+            packed = machine.encode_packed(texts)
             offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
             yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[id_col, *keep, ids_col])

@@ -10,12 +10,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Rows and characters of a slice of an Arrow batch that is held as Python objects at once.
-SLICE_ROWS, SLICE_CHARS = 1024, 4_000_000
+SLICE_ROWS, SLICE_CHARS = 1024, 2_000_000
 #: Entries of a worker's memo, and the longest chunk that is kept in it.
-MEMO_ENTRIES, MEMO_CHARS = 500_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 500_000, 12
 
 _UNSAFE = re.compile(r" (?:\s|$)")
 _BOUNDARY = re.compile(r" (?=\S)")
@@ -42,47 +44,82 @@ def space_free(text: str) -> list[str]:
 
 
 class Memo:
-    """chunk -> value, encoding what is missing in bulk."""
-
-    def __init__(self, encode: Callable[[list[str]], Iterable], entries: int = MEMO_ENTRIES):
-        self.encode, self.entries, self.kept = encode, entries, {}
-
-    def values(self, chunk_lists: list[list[str]]) -> Iterator[list]:
-        """For each list of chunks, the list of their values."""
-        wanted: set[str] = set()
-        for chunks in chunk_lists:
-            wanted.update(chunks)
-        missing = sorted(wanted.difference(self.kept))
-        if len(self.kept) + len(missing) > self.entries:
-            self.kept = {}
-            missing = sorted(wanted)
-        found = self.kept
-        if missing:
-            new = dict(zip(missing, self.encode(missing), strict=True))
-            if len(wanted) > self.entries or any(len(x) > MEMO_CHARS for x in missing):
-                found = self.kept | new if len(self.kept) < 50_000 else _Both(self.kept, new)
-                self.kept.update((k, v) for k, v in new.items() if len(k) <= MEMO_CHARS and len(self.kept) < self.entries)
-            else:
-                self.kept.update(new)
-        get = found.__getitem__
-        for chunks in chunk_lists:
-            yield [*map(get, chunks)]
-
-
-class _Both(dict):
-    def __init__(self, kept: dict, new: dict):
-        super().__init__(new)
-        self.more = kept
-
-    def __missing__(self, key: str):
-        return self.more[key]
+    """Chunk -> its ids as little-endian unsigned 32-bit integers, encoding what is missing in bulk.
+
+    Only chunks of up to `chars` characters are kept: longer ones seldom come again. A full memo stays
+    as it is until it has missed twice its size, that is, until the texts have changed.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], entries: int = MEMO_ENTRIES, chars: int = MEMO_CHARS):
+        self.encode, self.entries, self.chars, self.kept, self.missed = encode, entries, chars, {}, 0
+
+    def values(self, chunks: list[str]) -> list[bytes]:
+        found = [*map(self.kept.get, chunks)]
+        at = [i for i, v in enumerate(found) if v is None]
+        if at:
+            new = dict.fromkeys(chunks[i] for i in at)
+            new = dict(zip(new, self.encode([*new]), strict=True))
+            for i in at:
+                found[i] = new[chunks[i]]
+            self._keep(new)
+        return found
+
+    def _keep(self, new: dict[str, bytes]) -> None:
+        room = self.entries - len(self.kept)
+        short = [(k, v) for k, v in new.items() if len(k) <= self.chars]
+        if len(short) > room:
+            self.missed += len(short)
+            if self.missed > 2 * self.entries:
+                self.kept, self.missed, room = {}, 0, self.entries
+        self.kept.update(short[: max(0, room)])
+
+    def packed(self, texts: list[str], cut: Callable[[str], list[str]]) -> list[bytes]:
+        """The ids of each text. Splitting, finding the distinct chunks and putting ids together are done by
+        Arrow and numpy for the whole slice; Python sees each distinct chunk once."""
+        array = pa.array(texts, pa.string())
+        plain = pc.match_substring_regex(array, _ARROW_UNSAFE[cut])
+        out: list[bytes] = [b""] * len(texts)
+        easy = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        for i in np.flatnonzero(plain.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = b"".join(self.values(cut(texts[i])))
+        if not len(easy):
+            return out
+        array = array.take(pa.array(easy))
+        lists = pc.split_pattern(array, " ") if cut is space_led else pc.ascii_split_whitespace(array)
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        codes, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if cut is space_led:  # a text's first piece has no space before it
+            first = ends[:-1]
+            heads = [distinct[k] for k in codes[first].tolist()]
+            codes[first] = len(distinct) + np.arange(len(heads))
+            values = self.values([" " + x for x in distinct] + heads)
+        else:
+            values = self.values(distinct)
+        sizes = np.array([len(v) for v in values], np.int64) >> 2
+        ids = np.frombuffer(b"".join(values), "<u4")
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[codes]
+        done = np.cumsum(n) - n
+        whole = ids[np.repeat(starts[codes] - done, n) + np.arange(int(n.sum()))].tobytes()
+        at = np.concatenate([[0], np.cumsum(n)])[ends] * 4
+        for i, x, y in zip(easy.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+            out[i] = whole[x:y]
+        return out
+
+
+#: Texts that Arrow's splitting would cut differently from ours.
+_ARROW_UNSAFE = {
+    space_led: r" ([\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)",
+    space_free: r"^$",
+}
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """The batches in slices of bounded rows and characters, with the column's texts, null as empty."""
     for batch in batches:
         lengths = batch.column(column).fill_null("")
-        lengths = pa.compute.binary_length(lengths).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(lengths).to_numpy(zero_copy_only=False)
         begin = size = 0
         for i, n in enumerate(lengths.tolist()):
             if i > begin and (size + n > SLICE_CHARS or i - begin >= SLICE_ROWS):

@@ -37,7 +37,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-output")
     token_output.write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), path)
-    rows = token_output.ids_digest(token_output.read_tokens(spark, path))
+    rows = token_output.with_starts(token_output.ids_digest(spark.read.parquet(path)), path)
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

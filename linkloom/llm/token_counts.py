@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from .chunks import Memo, space_free, space_led, text_slices
 from .shared import path_exists
 
+#: Texts that are given to the library at a time.
+BATCH = 2048
 CACHE_SCHEMA = "content_sha256 binary, tokenizer_sha256 string, n_tokens long"
 
 
@@ -50,7 +53,13 @@ def library(path: str):
     tok.no_padding()
     kind = str(tok.pre_tokenizer)
     cut = space_led if kind.startswith("ByteLevel(") and "add_prefix_space=False" in kind and "use_regex=True" in kind and tok.normalizer is None else space_free if _drops_space(tok) else None
-    return lambda texts: [x.ids for x in tok.encode_batch_fast(texts, add_special_tokens=False)], cut
+
+
+    def encode(texts: list[str]) -> Iterator[list[int]]:
+        for k in range(0, len(texts), BATCH):  # the library's encodings are large: few at a time
+            yield from (x.ids for x in tok.encode_batch_fast(texts[k : k + BATCH], add_special_tokens=False))
+
+    return encode, cut
 
 
 def _drops_space(tok) -> bool:
@@ -63,26 +72,48 @@ def _drops_space(tok) -> bool:
 
 
 @lru_cache(maxsize=4)
-def _memo(path: str, packed: bool) -> Memo:
-    encode, _ = library(path)
-    return Memo(lambda chunks: ((np.array(x, "<u4").tobytes() if packed else len(x)) for x in encode(chunks)))
+def _memo(path: str) -> Memo:
+    encode, cut = library(path)
+    return Memo(_joined(path, encode) if cut is space_led else lambda chunks: (np.array(x, "<u4").tobytes() for x in encode(chunks)))
 
 
-def encode_packed(path: str, texts: list[str]) -> Iterator[bytes]:
+def _joined(path: str, encode):
+    """Encodes chunks of one leading space side by side, in texts of many: as chunks don't touch each other, a
+    token that begins with a space begins the next chunk. Other chunks are encoded alone."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    words = tok.get_vocab(with_added_tokens=True)
+    leads = np.zeros(max(words.values()) + 1, bool)
+    leads[[i for w, i in words.items() if w.startswith("\u0120")]] = True
+    glued = re.compile(r" [^\s<]+").fullmatch
+
+    def run(chunks: list[str]) -> Iterator[bytes]:
+        plain = [x for x in chunks if glued(x)]
+        values: dict[str, bytes] = {}
+        for k in range(0, len(plain), BATCH):
+            part = plain[k : k + BATCH]
+            ids = np.array(next(iter(encode(["".join(part)]))), "<u4")
+            at = (np.flatnonzero(leads[ids]) * 4).tolist()
+            whole = ids.tobytes()
+            values.update(zip(part, (whole[a:b] for a, b in zip(at, [*at[1:], len(whole)], strict=True)), strict=True))
+        rest = [x for x in chunks if x not in values]
+        values.update(zip(rest, (np.array(x, "<u4").tobytes() for x in encode(rest)), strict=True))
+        return map(values.__getitem__, chunks)
+
+    return run
+
+
+def encode_packed(path: str, texts: list[str]) -> list[bytes]:
     """Each text's ids by the library, as little-endian unsigned 32-bit integers."""
     encode, cut = library(path)
     if cut is None:
-        yield from (np.array(x, "<u4").tobytes() for x in encode(texts))
-    else:
-        for values in _memo(path, True).values([cut(x) for x in texts]):
-            yield b"".join(values)
+        return [np.array(x, "<u4").tobytes() for x in encode(texts)]
+    return _memo(path).packed(texts, cut)
 
 
 def count_tokens(path: str, texts: list[str]) -> list[int]:
-    encode, cut = library(path)
-    if cut is None:
-        return [len(x) for x in encode(texts)]
-    return [sum(values) for values in _memo(path, False).values([cut(x) for x in texts])]
+    return [len(x) // 4 for x in encode_packed(path, texts)]
 
 
 def cached_token_counts(docs: DataFrame, tokenizer: str, cache_path: str, text_col: str = "text", id_col: str = "doc_id", normalise=collapse_spaces) -> DataFrame:

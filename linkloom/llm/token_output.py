@@ -22,6 +22,7 @@ from .token_counts import encode_packed
 
 #: Documents of a shard on average, and the writer's settings.
 SHARD_DOCS = 8192
+BROADCAST_SHARDS = 500_000
 PARQUET = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",
@@ -63,11 +64,18 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int | None
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """The written rows with start, the ids of all documents before. Select what is needed: without
     the ids column only metadata pages are read. The running total is over shards, not documents."""
-    rows = spark.read.parquet(path)
-    totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
+    return with_starts(spark.read.parquet(path), path)
+
+
+def with_starts(rows: DataFrame, path: str) -> DataFrame:
+    """rows read from path (shard, first and others) with start in place of shard and first. The table of
+    shards is broadcast up to BROADCAST_SHARDS rows of 16 bytes, so that ids aren't shuffled; beyond, joined."""
+    totals = rows.sparkSession.read.parquet(path).groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(F.col("shard").alias("of"), F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    return rows.join(bases, rows["shard"] == bases["of"]).withColumn("start", F.col("base") + F.col("first")).drop("of", "base", "first", "shard")
+    few = totals.count() <= BROADCAST_SHARDS
+    joined = rows.join(F.broadcast(bases) if few else bases, rows["shard"] == bases["of"])
+    return joined.withColumn("start", F.col("base") + F.col("first")).drop("of", "base", "first", "shard")
 
 
 def ids_digest(rows: DataFrame, ids_col: str = "ids", out_col: str = "ids_crc32") -> DataFrame:
@@ -78,7 +86,7 @@ def ids_digest(rows: DataFrame, ids_col: str = "ids", out_col: str = "ids_crc32"
         for batch in batches:
             ids = batch.column(ids_col)
             at = ids.offsets.to_numpy()
-            flat = np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), "<i4")
+            flat = np.ascontiguousarray(ids.values.to_numpy(), "<i4")
             crc = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(crc, pa.int64())], names=[*kept, out_col])
 
