@@ -154,7 +154,8 @@ def stage1_features(spark: SparkSession, d: str) -> DataFrame:
 def consensus_support(spark: SparkSession, d: str) -> DataFrame:
     records = _docs(spark, d)
     scored = blocking.ranked(blocking.key_evidence(records)).select("country", "s1_id", "rec_id", F.round("kshare", 6).alias("p1"))
-    return _rounded(consensus.with_consensus(scored, records, score=consensus.jaccard_100), "bestn", "besta")
+    found = consensus.with_consensus(scored, records, score=consensus.jaccard_100)
+    return found.withColumns({c: F.round(c, 9) for c in ("bestn", "besta")})
 
 
 @query

@@ -260,7 +260,7 @@ ORACLE = {
     "ratio_features": _DE + f"""SELECT rec_id, s1_id, round({_lcs_ratio("a.name", "b.name")}, 6) AS nr, round({_lcs_ratio("a.skeleton", "b.skeleton")}, 6) AS nsk, round({_lcs_ratio(_SORTED.format("a.name"), _SORTED.format("b.name"))}, 6) AS nso
         FROM top JOIN prepared a ON a.entity_id = s1_id JOIN prepared b ON b.entity_id = rec_id""",
     "consensus_support": _with(DOCS, _prepared("er_docs"), KEYS, EVIDENCE, _CONSENSUS) + """SELECT c.country, c.s1_id, c.rec_id, p1, sum((p1 >= 0.5)::BIGINT) OVER (PARTITION BY c.country, c.s1_id)::BIGINT - (p1 >= 0.5)::BIGINT AS nconf_others,
-        coalesce(sup, 0) AS sup, coalesce(cross_, 0) AS cross, round(coalesce(bestn, 0), 6) AS bestn, round(coalesce(besta, 0), 6) AS besta, coalesce(numagree, 0) AS numagree FROM conf c LEFT JOIN found f ON f.country = c.country AND f.s1_id = c.s1_id AND f.rec_id = c.rec_id""",
+        coalesce(sup, 0) AS sup, coalesce(cross_, 0) AS cross, round(coalesce(bestn, 0), 9) AS bestn, round(coalesce(besta, 0), 9) AS besta, coalesce(numagree, 0) AS numagree FROM conf c LEFT JOIN found f ON f.country = c.country AND f.s1_id = c.s1_id AND f.rec_id = c.rec_id""",
     "band_idf": _with(DOCS, _prepared("er_docs"), KEYS, EVIDENCE, _IDF) + "SELECT country, s1_id, rec_id, " + ", ".join(f"round(coalesce({c}, 0), 6) AS {c}" for c in ("ncom", "nmis", "next", "nmaxmis", "nmaxext")) + ", round(coalesce(ncom / (ncom + nmis + next + 1e-9), 0), 6) AS njac FROM band LEFT JOIN sums USING (country, s1_id, rec_id)",
     "house_number_profile": _with(PARTS, _prepared("er_parts"), KEYS, EVIDENCE, _HN_PAIR) + f"""SELECT rec_id, s1_id, CASE WHEN missing THEN -1 ELSE list_min(list_transform(c, lambda p: levenshtein(p.x, p.y)))::INTEGER END AS hn_min_edit, {_some("p.x = p.y")} AS hn_exact,
         {_some("p.x <> p.y AND (suffix(p.x, p.y) OR suffix(p.y, p.x))")} AS hn_suffix, {_some("p.x <> p.y AND length(p.x) = length(p.y) AND substr(p.x, 1, length(p.x) - 1) = substr(p.y, 1, length(p.y) - 1)")} AS hn_lastdigit, missing::INTEGER AS hn_missing,
