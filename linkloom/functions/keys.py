@@ -38,12 +38,12 @@ def simhash(grams: Column, bits: int = 32) -> Column:
     """Similarity hash: bit b is 1 if at least half of the grams' md5 hashes have it; 0 without grams."""
     hashes = F.transform(grams, lambda g: md5_int(g))
 
-    def votes(bit: int) -> Column:
-        return F.aggregate(hashes, F.lit(0), lambda s, h: s + F.when(h.bitwiseAND(1 << bit) != 0, 1).otherwise(-1))
+    def count(votes: Column, h: Column) -> Column:
+        return F.transform(votes, lambda v, i: v + F.when(F.call_function("shiftright", h, i).bitwiseAND(1) == 1, 1).otherwise(-1))
 
-    total = [votes(b) for b in range(bits)]
-    value = sum((F.when(t >= 0, F.lit(1 << b)).otherwise(F.lit(0)) for b, t in enumerate(total)), F.lit(0).cast("long"))
-    return F.when(F.size(grams) == 0, F.lit(0).cast("long")).otherwise(value)
+    votes = F.aggregate(hashes, F.array_repeat(F.lit(0), bits), count)
+    places = F.transform(votes, lambda v, i: F.when(v >= 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    return F.when(F.size(grams) == 0, F.lit(0).cast("long")).otherwise(F.aggregate(places, F.lit(0).cast("long"), lambda s, p: s + p))
 
 
 def bands(hash_: Column, count: int = 4, width: int = 8) -> Column:
