@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,7 +79,7 @@ class Lists:
 def _matrix(vectors: pa.ChunkedArray, width: int) -> np.ndarray:
     """Rows padded with zeros to the width; doubles if every product sum is exact in them, else integers."""
     vectors = vectors.combine_chunks()
-    lengths = pa.compute.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
     out = np.zeros((len(lengths), width), np.int64)
     if len(flat):
@@ -104,7 +105,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, tile_vectors:
     def search(key: tuple, own: pa.Table, wanted: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, ...]] = []
         if own.num_rows and wanted.num_rows:
-            width = max(pa.compute.max(pa.compute.list_value_length(t["v"])).as_py() for t in (own, wanted))
+            width = max(pc.max(pc.list_value_length(t["v"])).as_py() for t in (own, wanted))
             matrix, queries_ = _matrix(own["v"], width), _matrix(wanted["v"], width)
             most = float(np.abs(matrix.astype(float)).max(initial=0)) * float(np.abs(queries_.astype(float)).max(initial=0)) * width
             if most < _EXACT:
