@@ -7,11 +7,11 @@
    Groups of bins are bands; classes that agree in a band share a bucket.
 3. A bucket's candidate edges form a star around its first class, so their number is that of its
    members. Each is confirmed on the full sets.
-4. A star alone would lose a link between two members of which one is not like the centre. The
-   Jaccard distance is a metric, so links that the star can't show join members whose distances to
-   the centre differ by at most the link distance. These are compared by signature within tiles of
-   the bucket, and confirmed on full sets if the signatures allow a link. Members that the star has
-   linked already are not compared with each other.
+4. A star alone would lose a link between two members of which one is not like the centre. Links
+   matter only between components, so where the members of one centre are still in several, those
+   outside the centre's own component are compared with all others: intersections of the full sets
+   from an inverted index of a tile of members, except where the triangle inequality (the Jaccard
+   distance is a metric) rules a link out. Only links come out that join components of the tile.
 5. Components of the confirmed links by label propagation with pointer jumping, each round written
    to the shared folder.
 
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from .chunks import text_slices
 from .shared import content_key, kept_once, written
 
-#: Members of a tile of a bucket: tiles, not buckets, bound a task.
-TILE = 1024
+#: Members, and shingles of them, of a tile on average: tiles, not groups, bound a task.
+TILE, TILE_SHINGLES = 1024, 400_000
 
 
 @dataclass(frozen=True)
@@ -92,7 +92,8 @@ def shingle_set(text: str, words: int) -> np.ndarray:
 def _probes(bins: int, attempt: int) -> np.ndarray:
     """Where each bin looks at an attempt."""
     i = np.arange(bins, dtype=np.uint64)
-    return (_mixed(_mixed(i + np.uint64(1)) + np.uint64(attempt) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(bins)).astype(np.int64)
+    step = np.uint64(attempt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    return (_mixed(_mixed(i + np.uint64(1)) + step) % np.uint64(bins)).astype(np.int64)
 
 
 def signature(hashes: np.ndarray, bins: int) -> np.ndarray:
@@ -163,10 +164,26 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, config: NearConfig) -> DataFr
     return written(found, "near-sets")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, config: NearConfig) -> DataFrame:
-    """(a, b, distance, linked) of the pairs (a, b), from the full sets."""
+def _least_alike(size: np.ndarray, config: NearConfig) -> np.ndarray:
+    """The share of equal bins below which a pair of sets, the smaller of this size, can't be a link: six
+    standard deviations under the link's similarity."""
+    s = config.numerator / config.denominator
+    return s - 6 * np.sqrt(s * (1 - s) / np.minimum(config.bins, size))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, config: NearConfig) -> DataFrame:
+    """(a, b, distance, linked) of the pairs (a, b) that signatures don't rule out, from the full sets."""
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, config.bins) for c in ("asig", "bsig"))
+            small, large = np.minimum(*(sizes := [batch.column(c).to_numpy() for c in ("an", "bn")])), np.maximum(*sizes)
+            keep = ((x == y).mean(axis=1) >= _least_alike(small, config)) & (config.denominator * small >= config.numerator * large)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             distance, linked = [], []
             for x, y in zip(batch.column("ah"), batch.column("bh"), strict=True):
@@ -177,62 +194,78 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, config: NearConfig) -> DataFra
                 linked.append(config.denominator * both >= config.numerator * union)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())], names=["a", "b", "distance", "linked"])
 
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ah"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("bh"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ah", "bh")
-    return written(both.mapInArrow(run, "a long, b long, distance double, linked boolean").dropDuplicates(["a", "b"]), "near-pairs")
+    sig = lambda x: sigs.select(F.col("node").alias(x), F.col("n").alias(f"{x}n"), F.col("sig").alias(f"{x}sig"))
+    left = pairs.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "an", "bn", "asig", "bsig").mapInArrow(possible, "a long, b long")
+    full = lambda x: sets.select(F.col("node").alias(x), F.col("hashes").alias(f"{x}h"))
+    both = left.join(full("a"), "a").join(full("b"), "b").select("a", "b", "ah", "bh")
+    return written(both.mapInArrow(confirm, "a long, b long, distance double, linked boolean").dropDuplicates(["a", "b"]), "near-pairs")
 
 
-def _beside_the_star(members: DataFrame, star: DataFrame, sigs: DataFrame, config: NearConfig) -> DataFrame:
-    """Pairs (a, b) of a bucket's members that the star leaves open and that signatures don't rule out.
+def _beside_the_stars(members: DataFrame, star: DataFrame, roots: DataFrame, sigs: DataFrame, sets: DataFrame, config: NearConfig) -> DataFrame:
+    """Links (a, b) between members of one centre that the stars leave in different components.
 
-    members: (band, hub, node). A member that is linked to the centre is only of use to one that
-    isn't and whose distance to the centre is at most the link distance larger.
+    members: distinct (hub, node), without the hub itself. Members outside the hub's component
+    (small) meet all members, in tiles of small by tiles of all.
     """
     reach = 1 - config.numerator / config.denominator + 1e-9
-    known = star.select(F.col("a").alias("sa"), F.col("b").alias("sb"), "distance", "linked")
-    placed = members.join(known, (F.least("hub", "node") == F.col("sa")) & (F.greatest("hub", "node") == F.col("sb"))).select("band", "node", "distance", "linked")
-    placed = written(placed, "near-placed")
-    open_ = placed.groupBy("band").agg(
-        F.count_if(~F.col("linked")).alias("n_open"),
-        F.count(F.lit(1)).alias("n_all"),
-        F.min(F.when(~F.col("linked"), F.col("distance"))).alias("nearest"),
-    ).where("n_open >= 1 and n_all >= 2").withColumnRenamed("band", "of")
-    useful = placed.join(open_, F.col("band") == F.col("of")).where(~F.col("linked") | (F.col("distance") + reach >= F.col("nearest"))).select("band", "node", "distance", "linked")
-    useful = written(useful, "near-open")
-    counts = useful.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("linked")).alias("left")).where("m >= 2 and left >= 1").select(F.col("band").alias("of"), F.ceil(F.col("m") / TILE).cast("int").alias("tiles"))
-    dealt = useful.join(counts, F.col("band") == F.col("of")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "distance", "linked").join(sigs.withColumnRenamed("node", "sig_node"), F.col("node") == F.col("sig_node")).drop("sig_node")
-    similarity, bins = config.numerator / config.denominator, config.bins
+    known = star.select(F.col("a").alias("sa"), F.col("b").alias("sb"), "distance")
+    rows = members.join(known, (F.col("hub") == F.col("sa")) & (F.col("node") == F.col("sb")), "left").drop("sa", "sb")
+    for name in ("hub", "node"):
+        of = roots.select(F.col("node").alias("of"), F.col("root").alias(f"{name}_root"))
+        rows = rows.join(of, F.col(name) == F.col("of"), "left").drop("of").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
+    rows = rows.join(sigs.select(F.col("node").alias("of"), "n"), F.col("node") == F.col("of")).drop("of")
+    rows = written(rows.withColumn("small", F.col("hub_root") != F.col("node_root")), "near-placed")
+    tiles = lambda count, size: F.greatest(F.ceil(count / TILE), F.ceil(size / TILE_SHINGLES)).cast("int")
+    groups = rows.groupBy(F.col("hub").alias("of")).agg(
+        F.min("node_root").alias("low"), F.max("node_root").alias("high"),
+        tiles(F.count_if("small"), F.coalesce(F.sum(F.when(F.col("small"), F.col("n"))), F.lit(0))).alias("small_tiles"), tiles(F.count(F.lit(1)), F.sum("n")).alias("all_tiles"),
+    ).where("low <> high")
+    open_ = written(rows.join(groups, F.col("hub") == F.col("of")).select("hub", "node", F.col("node_root").alias("root"), F.coalesce("distance", F.lit(float("nan"))).alias("distance"), "small", "small_tiles", "all_tiles"), "near-open")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = open_.where("small").select("hub", own("small_tiles").alias("i"), every("all_tiles").alias("j"), F.lit(True).alias("asks"), "node", "root", "distance")
+    right = open_.select("hub", own("all_tiles").alias("j"), every("small_tiles").alias("i"), F.lit(False).alias("asks"), "node", "root", "distance")
+    dealt = left.unionByName(right).join(sets.select(F.col("node").alias("of"), "hashes"), F.col("node") == F.col("of")).drop("of")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("own", "ascending"), ("node", "ascending")])
-        node = table["node"].to_numpy()
-        own, distance, linked = table["own"].to_numpy(), table["distance"].to_numpy(), table["linked"].to_numpy(zero_copy_only=False)
-        size = table["n"].to_numpy()
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u2").reshape(len(node), bins)
-        i, j = key[1].as_py(), key[2].as_py()
+        asks = table["asks"].to_numpy(zero_copy_only=False)
+        sides = [table.filter(pa.array(x)) for x in (asks, ~asks)]
+        (p_node, p_root, p_far), (q_node, q_root, q_far) = ([t[c].to_numpy().copy() for c in ("node", "root", "distance")] for t in sides)
+        packed = [[np.frombuffer(x.as_buffer(), "<u8") for x in t["hashes"].combine_chunks()] for t in sides]
+        size = np.array([len(x) for x in packed[1]])
+        flat = np.concatenate(packed[1]) if packed[1] else np.zeros(0, np.uint64)
+        order = np.argsort(flat, kind="stable")
+        values, owner = flat[order], np.repeat(np.arange(len(size)), size)[order]
         found_a, found_b = [], []
-        for p in range(len(node)):
-            if i != j and own[p] != i:
-                break
-            rest = slice(p + 1, None) if i == j else slice(int(np.searchsorted(own, j)), None)
-            fits = ~(linked[p] & linked[rest]) & (np.abs(distance[p] - distance[rest]) <= reach)
-            small, large = np.minimum(size[p], size[rest]), np.maximum(size[p], size[rest])
-            fits &= small >= similarity * large - 1e-9
-            at = np.flatnonzero(fits)
-            if not len(at):
+        for k, mine in enumerate(packed[0]):
+            fits = (q_root != p_root[k]) & ~(np.abs(q_far - p_far[k]) > reach) & (config.denominator * np.minimum(size, len(mine)) >= config.numerator * np.maximum(size, len(mine)))
+            if not fits.any():
                 continue
-            alike = (sig[rest][at] == sig[p]).mean(axis=1)
-            least = similarity - 6 * np.sqrt(similarity * (1 - similarity) / np.minimum(bins, small[at]))
-            at = at[alike >= least] + rest.start
-            found_a.append(np.minimum(node[p], node[at]))
-            found_b.append(np.maximum(node[p], node[at]))
-        return pa.table({"a": np.concatenate(found_a or [np.zeros(0, np.int64)]), "b": np.concatenate(found_b or [np.zeros(0, np.int64)])})
-
-    pairs = dealt.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long").distinct()
-    return pairs.join(known, (F.col("a") == F.col("sa")) & (F.col("b") == F.col("sb")), "left_anti")
+            begin, end = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+            n = end - begin
+            at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            both = np.bincount(owner[at], minlength=len(size))
+            hits = np.flatnonzero(fits & (config.denominator * both >= config.numerator * (size + len(mine) - both)))
+            roots_, first = np.unique(q_root[hits], return_index=True)
+            for q in hits[first].tolist():
+                found_a.append(p_node[k])
+                found_b.append(q_node[q])
+            if len(hits):  # one component from here on: a tile gives fewer links than it has members
+                mine_root = p_root[k]
+                q_root[np.isin(q_root, roots_)] = mine_root
+                p_root[np.isin(p_root, roots_)] = mine_root
+        return pa.table({"a": np.array(found_a, np.int64), "b": np.array(found_b, np.int64)})
+
+    return written(dealt.groupBy("hub", "i", "j").applyInArrow(compare, "a long, b long"), "near-beside")
+
+
+def _all_links(bands: DataFrame, sigs: DataFrame, sets: DataFrame, config: NearConfig) -> DataFrame:
+    """Links (a, b) that connect what the buckets' links connect. bands: (band, node) of shared buckets."""
+    hubs = bands.groupBy(F.col("band").alias("of")).agg(F.min("node").alias("hub"))
+    members = written(bands.join(hubs, F.col("band") == F.col("of")).where("node <> hub").select("hub", "node").distinct(), "near-members")
+    star = _confirmed(members.select(F.col("hub").alias("a"), F.col("node").alias("b")), sigs, sets, config)
+    linked = star.where("linked").select("a", "b")
+    return linked.unionByName(_beside_the_stars(members, star, components(linked), sigs, sets, config))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -285,14 +318,11 @@ def _grouped(docs: DataFrame, config: NearConfig, text_col: str, id_col: str) ->
     first = sketches.join(of, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("class")))
     first = written(first.select("node", "n", "bands", "sig").dropDuplicates(["node"]), "near-firsts")
     bands = first.select("node", F.explode("bands").alias("band"))
-    hubs = bands.groupBy(F.col("band").alias("shared")).agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-    members = written(bands.join(hubs, F.col("band") == F.col("shared")).where("node <> hub").select("band", "hub", "node"), "near-members")
-    star = members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    involved = members.select("node").union(members.select("hub")).distinct().withColumnRenamed("node", "wanted")
-    sets = _full_sets(chosen, classes.join(involved, F.col("node") == F.col("wanted")).select("node", "first_id", "digest"), config)
-    star = _confirmed(star, sets, config)
-    beside = _confirmed(_beside_the_star(members, star, first.select("node", "n", "sig"), config), sets, config)
-    roots = components(star.where("linked").unionByName(beside.where("linked")))
+    shared = bands.groupBy(F.col("band").alias("of")).agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("of")
+    bands = written(bands.join(shared, F.col("band") == F.col("of")).select("band", "node"), "near-bands")
+    wanted = classes.join(bands.select(F.col("node").alias("wanted")).distinct(), F.col("node") == F.col("wanted")).select("node", "first_id", "digest")
+    links = _all_links(bands, first.select("node", "n", "sig"), _full_sets(chosen, wanted, config), config)
+    roots = components(links)
     placed = classes.join(roots.withColumnRenamed("node", "linked_node"), F.col("node") == F.col("linked_node"), "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = written(placed.join(least, "root").select(F.col("digest").alias("class"), "component_id", "root"), "near-named")
