@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Rows and characters of a slice of an Arrow batch that is held as Python objects at once.
-SLICE_ROWS, SLICE_CHARS = 1024, 2_000_000
+SLICE_ROWS, SLICE_CHARS = 512, 1_000_000
 #: Entries of a worker's memo, and the longest chunk that is kept in it.
 MEMO_ENTRIES, MEMO_CHARS = 500_000, 12
 

@@ -37,6 +37,16 @@ def collapse_spaces(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")
 
 
+@lru_cache(maxsize=4)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    return tok
+
+
 @lru_cache(maxsize=4)
 def library(path: str):
     """A worker's tokenizer of the library that a file belongs to, and how its texts are chunked."""
@@ -46,11 +56,7 @@ def library(path: str):
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         return lambda texts: model.encode(texts, num_threads=1), None
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
+    tok = _tokenizer(path)
     kind = str(tok.pre_tokenizer)
     cut = space_led if kind.startswith("ByteLevel(") and "add_prefix_space=False" in kind and "use_regex=True" in kind and tok.normalizer is None else space_free if _drops_space(tok) else None
 
@@ -80,10 +86,7 @@ def _memo(path: str) -> Memo:
 def _joined(path: str, encode):
     """Encodes chunks of one leading space side by side, in texts of many: as chunks don't touch each other, a
     token that begins with a space begins the next chunk. Other chunks are encoded alone."""
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-    words = tok.get_vocab(with_added_tokens=True)
+    words = _tokenizer(path).get_vocab(with_added_tokens=True)
     leads = np.zeros(max(words.values()) + 1, bool)
     leads[[i for w, i in words.items() if w.startswith("\u0120")]] = True
     glued = re.compile(r" [^\s<]+").fullmatch
