@@ -21,20 +21,31 @@ from .chunks import text_slices
 ROUNDS = 8
 _FIRST_DAY, _LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 _MAYBE = re.compile("[0-9@]")
-_FOUND = re.compile(
-    r"""
-    (?P<email>(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-]))
-  | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-  | (?P<isodate>(?<![\d-])(?:19|20)\d\d-\d\d-\d\d(?![\d-]))
-  | (?P<dotdate>(?<![\d.])\d{1,2}\.\d{1,2}\.(?:19|20)\d\d(?![\d.]*\d))
-  | (?P<slashdate>(?<![\d/])\d{1,2}/\d{1,2}/(?:19|20)\d\d(?![\d/]))
-  | (?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))
-  | (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
-  | (?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![ -]?\d))
-  | (?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w))
-    """,
-    re.VERBOSE | re.ASCII,
-)
+#: Forms that tell where a value ends, in the order that they are tried in; a number may follow.
+_STRICT = {
+    "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?!\w)",
+    "isodate": r"(?<!\d)(?:19|20)\d\d-\d\d-\d\d(?!\d)",
+    "dotdate": r"(?<!\d)(?<!\d\.)\d{1,2}\.\d{1,2}\.(?:19|20)\d\d(?!\d)",
+    "slashdate": r"(?<![\d/])\d{1,2}/\d{1,2}/(?:19|20)\d\d(?![\d/])",
+    "ip": r"(?<!\d)(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
+    "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\d)",
+    "card 19": r"(?<!\d)(?:\d{4}[ -]){4}\d{1,3}(?!\d)",
+    "phone": r"(?<![\w+])(?:(?:\+1[ .-]?)?\([2-9]\d\d\)[ .-]?[2-9]\d\d[ .-]?\d{4}|\+1[ .-]?[2-9]\d\d[ .-]?[2-9]\d\d[ .-]?\d{4}|\+\d{8,15}|\d{3}(?P<s>[ .-])\d{3}(?P=s)\d{4})(?!\w)",
+}
+#: Forms of blocks that the next number may look like a part of: each end of a block is tried, the last first.
+_LOOSE = {
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?",
+    "card": r"(?<!\d)\d(?:[ -]?\d){12,18}",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{1,12}|\(\d{2,5}\)[ .-]?\d{2,12})(?:[ .-]\d{2,12}){0,7}",
+}
+_STRICT_FORMS = [(name.split()[0], re.compile(form, re.ASCII)) for name, form in _STRICT.items()]
+_LOOSE_FORMS = [(kind, re.compile(form, re.ASCII)) for kind, form in _LOOSE.items()]
+_FOUND = re.compile("|".join([*_STRICT.values(), *_LOOSE.values()]), re.ASCII)
+_RUN = re.compile("[A-Za-z0-9]+")
+_STEP = re.compile(r"[+(]*\d+|.", re.ASCII | re.DOTALL)
+#: Characters of the shortest IBAN in use.
+_LEAST_IBAN = 15
 
 
 class Pseudonyms:
@@ -154,17 +165,47 @@ class Pseudonyms:
             return text, []
         out, spans, at, done = [], [], 0, 0
         while m := _FOUND.search(text, at):
-            new = self.pseudonym(m.lastgroup, m[0])
-            if new is None:  # not valid as this kind: what begins later in it may be
-                at = m.start() + 1 if m.lastgroup in ("phone", "card", "iban") else m.end()
-                if at < m.end() and m.lastgroup != "iban":
-                    at = m.start() + len(re.match(r"[+(]*\d+|.", m[0], re.DOTALL)[0])
+            found = self._strict(text, m.start()) or self._loose(text, m.start())
+            if found is None:  # no valid value begins here: one that begins later in it may be
+                at = _STEP.match(text, m.start()).end()
                 continue
+            kind, end, new = found
             out += [text[done : m.start()], new]
-            spans.append((m.lastgroup, m.start(), m.end()))
-            at = done = m.end()
+            spans.append((kind, m.start(), end))
+            at = done = end
         return "".join([*out, text[done:]]), spans
 
+    def _strict(self, text: str, at: int) -> tuple[str, int, str] | None:
+        """(kind, end, pseudonym) of the valid value that begins here in a form that tells its end."""
+        for kind, form in _STRICT_FORMS:
+            if (m := form.match(text, at)) and (new := self.pseudonym(kind, m[0])) is not None:
+                return kind, m.end(), new
+        return None
+
+    def _loose(self, text: str, at: int) -> tuple[str, int, str] | None:
+        """The same of a value in blocks, up to the last block that keeps it valid. It doesn't end within
+        another value, and a card in odd blocks doesn't hold one in usual blocks."""
+        for kind, form in _LOOSE_FORMS:
+            if not (m := form.match(text, at)):
+                continue
+            runs = [(at + r.start(), at + r.end()) for r in _RUN.finditer(m[0])]
+            inner = None
+            for _, end in reversed(runs):
+                after = text[end : end + 1]
+                if after.isascii() and (after.isdigit() if kind == "card" else after.isalnum() or (kind == "phone" and after == "_")):
+                    continue
+                value = text[at:end]
+                size = sum(map(str.isalnum, value))
+                if size < 13 if kind == "card" else kind == "iban" and end < m.end() and size < _LEAST_IBAN:
+                    break
+                if (new := self.pseudonym(kind, value)) is None:
+                    continue
+                if inner is None and kind != "iban":
+                    inner = [(start, *found[:2]) for start, _ in runs[1:] if (found := self._strict(text, start))]
+                if kind == "iban" or not any(start < end and (to > end or kind == what == "card") for start, what, to in inner):
+                    return kind, end, new
+        return None
+
 
 def luhn(digits: str) -> bool:
     doubled = [int(c) * 2 for c in digits[-2::-2]]

@@ -113,6 +113,36 @@ def test_pseudonyms_keep_format_and_links():
     assert len(set(parsed)) == 1
 
 
+NEXT = ["12", "5", "2024", "48451681144", "190.137.223.204", "7536784127813050", "555-123-4567", "2021-02-28", "x@mail.example.com"]
+
+
+def test_values_next_to_numbers():
+    maker = pii.Pseudonyms(b"k")
+    for value in [*VALUES, "+1 (826) 555-4081", "555-123-4567", "+49 30 12345678", "(030) 12345678", "+33 1 23 45 67 89", "BE68 5390 0754 7034", "7536784127813050"]:
+        kind, start, end = maker.replaced(f"See {value}, x")[1][0]
+        assert (start, end) == (4, 4 + len(value)), value
+        for other in NEXT:
+            text = f"See {value} {other} and {value}, {other} {value} x"
+            new, spans = maker.replaced(text)
+            assert value not in new, (text, new)
+            assert new.startswith(f"See {maker.pseudonym(kind, value)} ") or value == "+49 30 12345678" or value[:3] in ("(03", "+49", "+33"), (text, new)
+            assert all(maker.pseudonym(k, text[a:b]) is not None for k, a, b in spans)
+        for sign in "-.":
+            if kind == "ip" or (kind, sign) == ("email", "."):
+                continue
+            assert value not in maker.replaced(f"See {value}{sign}12 x")[0], value
+
+
+def test_planted_values_beside_numbers_go(spark):
+    rows = [(1, "an 7536784127813050 4845168114407329 e"), (2, "des +1 (826) 555-4081 190.137.223.204 du"), (3, "tel +49 30 12345678 fax")]
+    got = {r.doc_id: r for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()}
+    assert [[(s.kind, rows[i - 1][1][s.start : s.end]) for s in got[i].spans] for i in (1, 2, 3)] == [
+        [("card", "7536784127813050"), ("card", "4845168114407329")],
+        [("phone", "+1 (826) 555-4081"), ("ip", "190.137.223.204")],
+        [("phone", "+49 30 12345678")],
+    ]
+
+
 @pytest.mark.parametrize("text", ["4041894974608796", "2021-02-30", "300.1.1.1", "1.2.3", "666-12-1234", "GB82 WEST 1234 5698 7654 33", "v 12 34", "a@b", "price 3,000.50 in 2021", "9.9. and 12."])
 def test_invalid_values_stay(text):
     assert pii.Pseudonyms(b"k").replaced(text) == (text, [])
