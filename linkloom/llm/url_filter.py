@@ -11,6 +11,7 @@ distinct path forms first, so a host of any size costs as much as its forms.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,13 +23,12 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class TemplateConfig:
-    """depth: levels of the tree; what lies deeper is one wildcard. least_rows, least_share: a word segment with
-    fewer rows or a smaller share of its siblings' rows is variable. chi_square: critical value (1 %,
-    8 degrees) of the test that a branch goes on as its siblings together do. z: of the label test.
+    """The tree has as many levels as the paths. least_rows, least_share: a word segment with fewer rows or a
+    smaller share of its siblings' rows is variable. chi_square: critical value (1 %, 8 degrees) of the
+    test that a branch goes on as its siblings together do. z: of the label test.
     strength: pseudo-observations at the labels' overall share; reject: smoothed share from which a
     template is rejected; coverage: least share of its urls that must be labelled."""
 
-    depth: int = 4
     least_rows: int = 5
     least_share: float = 0.01
     chi_square: float = 20.09
@@ -86,8 +86,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], config: TemplateC
     rule, verdict = rule_verdict(F.col("host"), F.col("path"), rules)
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     forms = F.transform(segments, segment_form)
-    cut = F.when(F.size(forms) > config.depth, F.concat(F.slice(forms, 1, config.depth - 1), F.array(F.lit("{deep}")))).otherwise(forms)
-    judged = parsed.withColumn("rule", rule).withColumn("by_rule", verdict).withColumn("form", F.array_join(cut, "/"))
+    judged = parsed.withColumn("rule", rule).withColumn("by_rule", verdict).withColumn("form", F.array_join(forms, "/"))
     tree = path_templates(judged.where("host <> ''"), config)
     joined = judged.join(tree.select(F.col("host").alias("th"), F.col("form").alias("tf"), "template", "blocked_share", "rejected"), (F.col("host") == F.col("th")) & (F.col("form") == F.col("tf")), "left")
     by_template = F.when(F.coalesce("rejected", F.lit(False)), "block").otherwise("allow")
@@ -99,9 +98,14 @@ def path_templates(judged: DataFrame, config: TemplateConfig = TemplateConfig())
     blocked, labelled = F.count_if(F.col("by_rule") == "block"), F.count(F.col("by_rule"))
     forms = judged.groupBy("host", "form").agg(F.count(F.lit(1)).alias("n"), labelled.alias("labelled"), blocked.alias("blocked"))
     tree = written(forms.withColumn("parts", F.when(F.col("form") == "", F.array()).otherwise(F.split("form", "/"))).withColumn("template", F.lit("")), "url-forms")
-    deepest = tree.agg(F.max(F.size("parts"))).first()[0] or 0
-    for level in range(1, deepest + 1):
-        tree = written(_grown(tree, level, config), "url-tree")
+    closed, level = [tree.where(F.size("parts") == 0)], 0
+    growing = tree.where(F.size("parts") > 0)
+    while not growing.isEmpty():
+        level += 1
+        grown = written(_grown(growing, level, config), "url-tree")
+        closed.append(grown.where("closed").drop("closed"))
+        growing = grown.where("not closed").drop("closed")
+    tree = written(reduce(DataFrame.unionByName, closed), "url-templates")
     overall = tree.agg(F.sum("labelled"), F.sum("blocked")).first()
     prior = (overall[1] / overall[0]) if overall[0] else 0.0
     share = (F.sum("blocked") + config.strength * prior) / (F.sum("labelled") + config.strength)
@@ -111,7 +115,7 @@ def path_templates(judged: DataFrame, config: TemplateConfig = TemplateConfig())
 
 
 #: The ways on that the branch test tells apart.
-_WAYS = ("end", "{number}", "{hex}", "{date}", "{mixed}", "{long}", "{deep}", "file", "word")
+_WAYS = ("end", "{number}", "{hex}", "{date}", "{mixed}", "{long}", "file", "word")
 
 
 def _way(part: Column) -> Column:
@@ -124,7 +128,9 @@ def _way(part: Column) -> Column:
 
 
 def _grown(tree: DataFrame, level: int, config: TemplateConfig) -> DataFrame:
-    """The tree with one more level decided: each branch at it is itself, a wildcard, or merged with siblings."""
+    """The paths with one more level decided: each branch at it is itself, a wildcard, or merged with siblings.
+    Closed are those that end here or that fewer than least_rows go on with: below, every word would be
+    rare by definition, so the rest of their templates is known. All others take part in the next level."""
     part, next_part = F.get("parts", F.lit(level - 1)), F.get("parts", F.lit(level))
     reach = tree.where(part.isNotNull()).withColumn("part", part).withColumn("way", _way(next_part))
     ways = [F.sum(F.when(F.col("way") == w, F.col("n")).otherwise(0)).alias(f"w{i}") for i, w in enumerate(_WAYS)]
@@ -142,7 +148,12 @@ def _grown(tree: DataFrame, level: int, config: TemplateConfig) -> DataFrame:
         .when((chi <= config.chi_square) & (z <= config.z), F.lit("{merged}"))
         .otherwise(F.col("part"))
     )
-    steps = both.select(F.col("host").alias("ph"), F.col("template").alias("pt"), F.col("part").alias("pp"), step.alias("step"))
+    both = both.withColumn("step", step)
+    going = both.groupBy(F.col("host").alias("gh"), F.col("template").alias("gt"), F.col("step").alias("gs")).agg(F.sum(F.col("n") - F.col("w0")).alias("going"))
+    both = both.join(going, (F.col("host") == F.col("gh")) & (F.col("template") == F.col("gt")) & (F.col("step") == F.col("gs")))
+    steps = both.select(F.col("host").alias("ph"), F.col("template").alias("pt"), F.col("part").alias("pp"), "step", "going")
     on = (F.col("host") == F.col("ph")) & (F.col("template") == F.col("pt")) & (part == F.col("pp"))
-    template = F.when(F.col("step").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "step"))
-    return tree.join(steps, on, "left").select("host", "form", "n", "labelled", "blocked", "parts", template.alias("template"))
+    closed = (F.size("parts") <= level) | (F.col("going") < config.least_rows)
+    rest = F.transform(F.slice("parts", level + 1, F.greatest(F.size("parts") - level, F.lit(0))), lambda p: F.when(F.startswith(p, F.lit("{")), p).otherwise("{rare}"))
+    template = F.array_join(F.concat(F.array(F.concat("template", F.lit("/"), "step")), F.when(closed, rest).otherwise(F.array())), "/")
+    return tree.join(steps, on).select("host", "form", "n", "labelled", "blocked", "parts", template.alias("template"), closed.alias("closed"))

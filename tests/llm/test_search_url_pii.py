@@ -85,6 +85,19 @@ def test_templates_generalise_and_reject(spark):
     assert got[200].template.startswith("/s/{rare}") and got[200].verdict == "allow"
 
 
+def test_deep_branches_are_told_apart(spark):
+    rules = [("h.net/2024/05/news/all/spam/", "block"), ("h.net/2024/05/news/all/ok/", "allow")]
+    rows = [(1000 * y + 100 * k + i, f"http://h.net/{2024 + y}/05/news/all/{w}/x/{i}") for y in (0, 1) for k, w in enumerate(("spam", "ok")) for i in range(60 - 40 * y)]
+    deep = "/".join(["a"] * 40)
+    rows += [(5000 + i, f"http://t.org/{deep}/{i}") for i in range(8)] + [(6000, "http://t.org/a/b/c/d/e7/f.html"), (6001, "http://t.org/")]
+    got = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert len(got) == len(rows) and all(r.template.count("/") == max(1, r.path.count("/")) or r.path == "/" for r in got.values())
+    for i in range(20):
+        assert (got[1000 + i].verdict, got[1100 + i].verdict) == ("block", "allow")
+    assert "/spam/" in got[1000].template and "/ok/" in got[1100].template and got[1000].blocked_share > 0.9 > 0.1 > got[1100].blocked_share
+    assert got[6000].template.endswith("/{rare}/{rare}/{rare}/{mixed}/{rare}") and got[5000].template.endswith("/{number}") and got[6001].template == ""
+
+
 def test_url_queries(spark, small):
     rows = queries.op1_url_filters(spark, small).collect()
     want = {r.page_id: brute_rule(r.url) for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
