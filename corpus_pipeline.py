@@ -11,7 +11,7 @@ from linkloom.llm.shared import written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter have no language and go."""
+    """Documents without any letter, or that no language is likelier for than all others together, go."""
     model = language_id.fit_languages(docs.where(~language_id.held_out(F.col("doc_id"))))
     return language_id.identified(docs, model)
 

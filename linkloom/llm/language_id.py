@@ -21,6 +21,8 @@ SAMPLE_PER_LANGUAGE = 4000
 #: The matrix has a row for each language, so their number is bounded; more is an error.
 MAX_LANGUAGES = 1000
 PIECE = 400_000
+#: A language is known if its posterior is at least that of all others together.
+LEAST_SCORE = 0.5
 _LETTER = re.compile("[A-Za-z]")
 
 
@@ -155,17 +157,23 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
     return chosen.mapInArrow(run, f"`{id_col}` {chosen.schema['id'].dataType.simpleString()}, lang_pred string, score double")
 
 
-def identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows, all columns as they are, whose language is known: those without letters go."""
+def identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows, all columns as they are, whose language is known: those without letters go, and those whose
+    likeliest language scores less than least_score. Where nothing was learned, all with letters stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
+    def known(texts: list[str]) -> list[bool]:
+        if not shared.value.languages:
+            return [*map(has_letter, texts)]
+        return [x != UNKNOWN and score >= least_score for x, score in zip(*shared.value.predict(texts), strict=True)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
             keep: list[bool] = []
             for _, texts in text_slices([own], "text"):
-                keep += [x != UNKNOWN for x in shared.value.predict(texts)[0]]
+                keep += known(texts)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

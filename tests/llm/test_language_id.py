@@ -1,3 +1,6 @@
+import numpy as np
+
+import corpus_pipeline
 from linkloom.llm import language_id, queries
 
 
@@ -29,3 +32,18 @@ def test_neighbours_do_not_matter(spark, small):
     alone = [model.predict([x]) for x in texts]
     assert together[0] == [x[0][0] for x in alone]
     assert max(abs(a - b[1][0]) for a, b in zip(together[1], alone, strict=True)) < 1e-9
+
+
+def test_nothing_learned_keeps_texts_with_letters(spark):
+    rows = [(i, f"some words {i}", None) for i in range(20)] + [(100, "12 34", None), (101, None, None), (102, "Ж", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [*range(20), 102]
+
+
+def test_the_score_takes_part(spark):
+    even = np.full((3, language_id.BUCKETS), -np.log(language_id.BUCKETS))
+    model = language_id.LanguageModel(["a", "b", "c"], even, np.log(np.full(3, 1 / 3)))
+    docs = spark.createDataFrame([(1, "any words"), (2, "12")], "doc_id long, text string")
+    assert language_id.identified(docs, model).count() == 0
+    assert [r.doc_id for r in language_id.identified(docs, model, least_score=0.3).collect()] == [1]
