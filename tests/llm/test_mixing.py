@@ -1,6 +1,7 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom.llm import mixing, queries
 
@@ -64,6 +65,34 @@ def test_mixed_rows(spark):
     assert mixing.mixed(df.limit(0)).count() == 0 and mixing.mixed_copies(df.limit(0)).count() == 0
 
 
+def test_equal_rows_spread(spark, monkeypatch):
+    equal = [(None, "the same row", "s", i) for i in range(3000)]
+    other = [(i, "w " * (1 + i % 9), "st"[i % 2], i) for i in range(3000)]
+    df = spark.createDataFrame(equal + other, "doc_id long, text string, source string, place long")
+    largest = []
+
+    def spy(table, label, **options):
+        out = real(table, label, **options)
+        if label == "mix-level":
+            largest.append(out.agg(F.max(F.size("done"))).first()[0] + 1)
+        return out
+
+    real = mixing.written
+    monkeypatch.setattr(mixing, "written", spy)
+    monkeypatch.setattr(mixing, "RUN_BITS", 5)
+    got = mixing.mixed_copies(df).collect()
+    assert max(largest) <= 3 * mixing.FAN_IN
+    assert len(got) == len({r.key for r in got}) == 6000
+    words = {s: sum(r.taken for r in got if r.source == s) for s in "st"}
+    for r in got[:1] + got[-1:]:
+        assert abs(words[r.source] - r.target) <= 9
+    again = mixing.mixed_copies(df.repartition(9)).collect()
+    key = lambda r: (r.doc_id or -1, r.key, r.taken)
+    assert sorted(map(key, got)) == sorted(map(key, again))
+    out = mixing.mixed(df).collect()
+    assert len(out) == sum(r.copies for r in got) and max(Counter(r.place for r in out if r.doc_id is None).values()) <= 3
+
+
 def test_draws_are_fair(spark):
     df = spark.createDataFrame([(i, "a b c d e", "s", "x") for i in range(400)] + [(1000 + i, "a " * 10, "t", "x") for i in range(400)], "doc_id long, text string, source string, taken string")
     total = defaultdict(int)
