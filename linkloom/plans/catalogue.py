@@ -158,6 +158,14 @@ def consensus_support(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 9) for c in ("bestn", "besta")})
 
 
+@query
+def consensus_support_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """consensus_support by the operator's own token-set ratio."""
+    records = _docs(spark, d)
+    scored = blocking.ranked(blocking.key_evidence(records)).select("country", "s1_id", "rec_id", F.round("kshare", 6).alias("p1"))
+    return consensus.with_consensus(scored, records)
+
+
 @query
 def band_idf(spark: SparkSession, d: str) -> DataFrame:
     records = _docs(spark, d)
@@ -315,6 +323,20 @@ def hard_negatives(spark: SparkSession, d: str) -> DataFrame:
     return decide.hard_negatives(ranked.select("s1_id", "rec_id", "label", "place"), 3)
 
 
+@query
+def ranked_pool_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """ranked_pool by the operator's own string scores."""
+    return decide.ranked_pool(_scored_channels(spark, d, True)).select("s1_id", "rec_id", "score", "place")
+
+
+@query
+def hard_negatives_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """hard_negatives of the ranking by the operator's own string scores."""
+    truth = _truth(fixtures.er_docs(spark, d)).withColumn("label", F.lit(1))
+    ranked = decide.ranked_pool(_scored_channels(spark, d, True)).join(truth, ["s1_id", "rec_id"], "left").na.fill(0, ["label"])
+    return decide.hard_negatives(ranked.select("s1_id", "rec_id", "label", "place"), 3)
+
+
 @query
 def inject_missed(spark: SparkSession, d: str) -> DataFrame:
     _, pairs = _channel_pairs(spark, d)
