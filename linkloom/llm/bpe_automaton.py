@@ -4,38 +4,74 @@ The automaton starts as one state with an arc for each byte. Each merge (u, v),
 adds a merge gadget: the state q that all u-arcs enter gets a copy without q's v-arc, all u-arcs
 are led to the copy, and every state with a u-arc gets an arc labelled uv to where v-arcs lead.
 In the finished automaton a token sequence is a path exactly when it is what the merges make of
-its bytes, so every prefix of a word has one path, and encoding is a walk.
+its bytes, so every prefix of a word has one path.
 
 All arcs with one label enter one state, so the automaton has a state for each merge and one more.
 A state differs from the state it was copied from by a single missing arc; arcs for later merges
-follow from their left part. The gadgets, keyed by their pair, are therefore the whole transition
-table: an arc is missing exactly if a gadget on the way to its state took it. Decisions are kept.
+follow from their left part. The gadgets, keyed by their pair, therefore say of every arc whether
+it is there.
+
+To read bytes, the automaton is made deterministic over them: a byte state is the set of token
+states from which some arc's label is under way, each with how far it has come (a node of the
+labels' trie). As every prefix of a word has one path, each byte completes exactly one arc. The
+table (byte state, byte) -> (next byte state, token of the arc completed) is filled as it is walked
+and bounded; a word is read by one table entry a byte, without search, and its tokens are emitted
+from the completed arcs, last to first.
+
+Words are pre-split as the vocabulary's library does it: the pattern is fixed, what is a letter, a
+number or white space is asked of the library itself, once for each character met.
 """
 
 from __future__ import annotations
 
 import json
-import os
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Memo, space_led, text_slices
+from .chunks import Memo, arrow_slices, space_led
 
-#: The pre-splitting pattern of the byte-level vocabulary.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Arc decisions that a worker keeps.
-ARCS_KEPT = 400_000
+#: The pre-splitting pattern of the byte-level vocabulary, over character classes: L other
+#: letters than those of the contractions, N numbers, S white space but the blank, O all else.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[Ldelmrstv]+| ?N+| ?[O']+|[ S]+(?![^ S])|[ S]+"
+#: Entries of the table of byte states that a worker keeps.
+STEPS_KEPT = 250_000
 NEVER = 1 << 62
 
 
+class CharacterClasses(dict):
+    """Code point -> its class in SPLIT, found by what the library's pre-tokenizer does with it."""
+
+    def __init__(self, pre_split: Callable[[str], list]):
+        super().__init__({ord(c): c for c in " 'delmrstv"})
+        self.pre_split = pre_split
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        joins = lambda x: len(self.pre_split(x + c)) == 1
+        self[code] = "L" if joins("a") else "N" if joins("1") else "O" if joins(".") else "S"
+        return self[code]
+
+
+@lru_cache(maxsize=2)
+def library_classes(path: str) -> CharacterClasses:
+    """Of a vocabulary file whose pre-splitting is the byte-level one; another is an error."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    kind = str(tok.pre_tokenizer)
+    if not (kind.startswith("ByteLevel(") and "add_prefix_space=False" in kind and "use_regex=True" in kind and tok.normalizer is None):
+        raise ValueError(f"{path} isn't a plain byte-level vocabulary")
+    return CharacterClasses(tok.pre_tokenizer.pre_tokenize_str)
+
+
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in byte-level vocabularies: printable bytes
     stand for themselves, the others for the code points from 256 on, in order."""
@@ -47,7 +83,7 @@ def byte_letters() -> dict[str, int]:
 class TokenAutomaton:
     """Compiled from a byte-level BPE file of the tokenizers library."""
 
-    def __init__(self, vocab: dict[str, int], merges: Iterable[tuple[str, str]], special: dict[str, int] | None = None):
+    def __init__(self, vocab: dict[str, int], merges: Iterable[tuple[str, str]], classes: CharacterClasses, special: dict[str, int] | None = None):
         letters = byte_letters()
         self.special = dict(special or {})
         self.labels: list[bytes] = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
@@ -75,26 +111,33 @@ class TokenAutomaton:
             self.gadget[u << 32 | v] = rank
             reachable.add(uv)
         self.parent, self.without, self.made = parent, without, made
-        self.trie: dict = {}
+        #: The trie of labels: each node's children by byte, and the token that ends there.
+        self._next: list[dict[int, int]] = [{}]
+        self._ends = [-1]
         for token in sorted(reachable):
-            node = self.trie
+            node = 0
             for byte in self.labels[token]:
-                node = node.setdefault(byte, {})
-            node[-1] = token
-        #: Words whose path is a single arc: the start state has all arcs.
-        self.whole = {self.labels[t]: t for t in reachable}
+                if byte not in self._next[node]:
+                    self._next[node][byte] = len(self._next)
+                    self._next.append({})
+                    self._ends.append(-1)
+                node = self._next[node][byte]
+            self._ends[node] = token
         self.sizes = [len(x) for x in self.labels]
-        self._arcs: dict[int, bool] = {}
-        self._mark = os.path.commonprefix([*self.special])[:1]
-        self._split = regex.compile(SPLIT).findall
-        self._cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
+        self._classes, self._spans = classes, re.compile(SPLIT).finditer
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
+        self._forget()
+
+    def _forget(self) -> None:
+        start = ((0, -1),)
+        self._sets, self._numbers, self._table = [start], {start: 0}, {}
 
     @classmethod
     def from_file(cls, path: str) -> TokenAutomaton:
         spec = json.loads(Path(path).read_text(encoding="utf-8"))
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        return cls(model["vocab"], merges, {x["content"]: x["id"] for x in spec.get("added_tokens", [])})
+        return cls(model["vocab"], merges, library_classes(path), {x["content"]: x["id"] for x in spec.get("added_tokens", [])})
 
     def has_arc(self, before: int, token: int) -> bool:
         """Whether the state that arcs labelled before enter has an arc with this token.
@@ -128,82 +171,69 @@ class TokenAutomaton:
                 state = self.parent[state]
         return True
 
-    def word(self, word: bytes) -> list[int]:
-        """The tokens of one pre-split word: from each state the arc with the longest label first.
+    def step(self, state: int, byte: int) -> tuple[int, int]:
+        """The table's entry (next byte state, token of the arc that the byte completes)."""
+        live, token = [], -1
+        for node, before in self._sets[state]:
+            to = self._next[node].get(byte)
+            if to is None:
+                continue
+            ends = self._ends[to]
+            if ends >= 0 and (before < 0 or self.has_arc(before, ends)):
+                token = ends
+            if self._next[to]:
+                live.append((to, before))
+        if token < 0:
+            raise ValueError("the vocabulary has no token for some byte of this word")
+        live.append((0, token))
+        key = tuple(live)
+        new = self._numbers.setdefault(key, len(self._sets))
+        if new == len(self._sets):
+            self._sets.append(key)
+        self._table[state << 8 | byte] = new, token
+        return new, token
 
-        A prefix has at most one path, so a position that leads nowhere is dead for good and the
-        walk visits each position once.
-        """
-        if word in self.whole:
-            return [self.whole[word]]
-        n, arcs, sizes = len(word), self._arcs, self.sizes
-        i, before, out, dead = 0, -1, [], set()
-        open_ = [self._matches(word, 0)]
-        while i < n:
-            found = -1
-            choices = open_[-1]
-            while choices:
-                token = choices.pop()
-                if i:
-                    ok = arcs.get(before << 32 | token)
-                    if ok is None:
-                        ok = arcs[before << 32 | token] = self.has_arc(before, token)
-                    if not ok:
-                        continue
-                if i + sizes[token] not in dead:
-                    found = token
-                    break
-            if found >= 0:
-                out.append(found)
-                i, before = i + sizes[found], found
-                if i < n:
-                    open_.append(self._matches(word, i))
-            elif out:
-                dead.add(i)
-                open_.pop()
-                i -= sizes[out.pop()]
-                before = out[-1] if out else -1
-            else:
-                raise ValueError("the vocabulary has no token for some byte of this word")
-        if len(arcs) > ARCS_KEPT:
-            arcs.clear()
-        return out
-
-    def _matches(self, word: bytes, i: int) -> list[int]:
-        """The tokens whose label begins at i, the longest last."""
-        node, out = self.trie, []
-        for j in range(i, len(word)):
-            node = node.get(word[j])
-            if node is None:
-                break
-            if (token := node.get(-1)) is not None:
-                out.append(token)
+    def word(self, word: bytes) -> list[int]:
+        """The tokens of one pre-split word: a table entry a byte, then the arcs from the last to the first."""
+        if len(self._table) > STEPS_KEPT:
+            self._forget()
+        table, state, ended = self._table, 0, []
+        for byte in word:
+            state, token = table.get(state << 8 | byte) or self.step(state, byte)
+            ended.append(token)
+        out, i, sizes = [], len(word), self.sizes
+        while i:
+            token = ended[i - 1]
+            out.append(token)
+            i -= sizes[token]
+        out.reverse()
         return out
 
-    def word_bytes(self, word: str) -> bytes:
-        return np.array(self.word(word.encode()), "<u4").tobytes()
-
-    def _chunks(self, chunks: list[str]) -> Iterator[bytes]:
-        """Tokens, packed, of each chunk: special strings first, then pre-split words."""
-        special = {s: np.array([t], "<u4").tobytes() for s, t in self.special.items()}
-        for chunk in chunks:
-            words: list[str] = []
-            for part in self._cut(chunk) if self._cut and self._mark in chunk else [chunk]:
-                if part in special:
-                    words.append(part)
+    def words(self, text: str) -> list[str]:
+        """Pre-split text without special strings."""
+        return [text[slice(*m.span())] for m in self._spans(text.translate(self._classes))]
+
+    def _pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        """Tokens, packed, of each piece: special strings first, then pre-split words."""
+        for piece in pieces:
+            ids: list[int] = []
+            for part in self._cut(piece) if self._cut else [piece]:
+                if part in self.special:
+                    ids.append(self.special[part])
                 elif part:
-                    words += self._split(part)
-            yield b"".join(special[w] if w in special else self.word_bytes(w) for w in words)
+                    for word in self.words(part):
+                        ids += self.word(word.encode())
+            yield np.array(ids, "<u4").tobytes()
 
     @property
     def memo(self) -> Memo:
         if not hasattr(self, "_memo"):
-            self._memo = Memo(self._chunks)
+            self._memo = Memo(self._pieces, space_led, True, self.special)
         return self._memo
 
     def encode_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        return self.memo.packed(texts, space_led)
+        return self.memo.packed(texts)
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_packed([text])[0], "<u4").tolist()
@@ -225,10 +255,9 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(vocabulary)
-        for part, texts in text_slices(batches, "text"):
-            packed = machine.encode_packed(texts)
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+        for part, texts in arrow_slices(batches, "text"):
+            flat, sizes = machine.memo.encoded(texts)
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat.view("<i4")))
             yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[id_col, *keep, ids_col])
 
     chosen = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"), *(F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)))
@@ -257,12 +286,13 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, text_col: str = "text", id_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(vocabulary)
-        for part, texts in text_slices(batches, "text"):
-            n, of_ids, of_text = [], [], []
-            for packed in machine.encode_packed(texts):
-                n.append(len(packed) // 4)
-                of_ids.append(sha256(packed).hexdigest())
-                of_text.append(sha256(machine.decode(memoryview(packed).cast("I")).encode()).hexdigest())
+        for part, texts in arrow_slices(batches, "text"):
+            ids, n = machine.memo.encoded(texts)
+            ends, of_ids, of_text = np.cumsum(n).tolist(), [], []
+            for a, b in zip([0, *ends], ends, strict=False):
+                own = ids[a:b]
+                of_ids.append(sha256(own).hexdigest())
+                of_text.append(sha256(machine.decode(own.tolist()).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

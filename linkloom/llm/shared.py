@@ -40,7 +40,15 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Deletes the files of written tables that no result reads any more."""
+    for table in tables:
+        drop_path(table.sparkSession, table.written_at)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -66,15 +74,50 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+#: A key is hot with at least HOT_ROWS rows and more than one row in HOT_KEYS: no table has more than HOT_KEYS of them.
+HOT_ROWS, HOT_KEYS = 500, 10_000
+
+
+def hot_keys(rows: DataFrame, key: str) -> DataFrame | None:
+    """The hot keys of a written table, HOT_KEYS at most, or None if there are none."""
+    least = max(HOT_ROWS, rows.count() // HOT_KEYS + 1)
+    found = rows.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") >= least).select(key).collect()
+    return rows.sparkSession.createDataFrame(found, rows.select(key).schema) if found else None
+
+
+def keyed_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", hot: DataFrame | None | str = "find") -> DataFrame:
+    """rows (a written table) joined with a table that has at most one row of each key, inner or left.
+
+    Rows of one hot key would meet in one task, so they get the few rows of the table that are theirs by a
+    broadcast of at most HOT_KEYS rows; all other keys are joined as usual. Rows without a key match nothing.
+    """
+    hot = hot_keys(rows, key) if isinstance(hot, str) else hot
+    keyed = rows.where(F.col(key).isNotNull())
+    if hot is None:
+        out = keyed.join(table, key, how)
+    else:
+        few = F.broadcast(hot)
+        out = keyed.join(few, key, "left_anti").join(table, key, how).unionByName(keyed.join(few, key, "left_semi").join(F.broadcast(table.join(few, key, "left_semi")), key, how))
+    return out.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True) if how == "left" else out
+
+
 def content_key(id_col: str, text_col: str) -> Column:
     """A 64-bit hash of a row's id and text."""
     return F.xxhash64(id_col, F.col(text_col).cast("string"))
 
 
+def content_sha(text_col: str) -> Column:
+    """The sha256 of a row's text, null for a null text."""
+    return F.unhex(F.sha2(F.col(text_col).cast("string"), 256))
+
+
 def kept_once(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of docs whose content_key is among kept(key), with all their columns; of rows that repeat
-    an id and a text one. One shuffle of docs: the window reuses the join's partitioning."""
-    key, theirs, place = free_names(docs, "content_key", "kept_key", "kept_place")
-    joined = docs.withColumn(key, content_key(id_col, text_col)).join(kept.select(F.col("key").alias(theirs)).distinct(), F.col(key) == F.col(theirs), "left_semi")
+    """The rows of docs whose id and text are those of kept(key, id, sha), with all their columns; of rows that
+    repeat an id and a text one. key is their content_key, by which both are dealt; id and sha256 of the text
+    decide. One shuffle of docs: the window reuses the join's partitioning."""
+    key, theirs, their_id, their_sha, place = free_names(docs, "content_key", "kept_key", "kept_id", "kept_sha", "kept_place")
+    wanted = kept.select(F.col("key").alias(theirs), F.col("id").alias(their_id), F.col("sha").alias(their_sha)).distinct()
+    same = (F.col(key) == F.col(theirs)) & F.col(id_col).eqNullSafe(F.col(their_id)) & content_sha(text_col).eqNullSafe(F.col(their_sha))
+    joined = docs.withColumn(key, content_key(id_col, text_col)).join(wanted, same, "left_semi")
     ranked = joined.withColumn(place, F.row_number().over(Window.partitionBy(key, id_col, text_col).orderBy(key)))
     return ranked.where(F.col(place) == 1).select(*docs.columns)

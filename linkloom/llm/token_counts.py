@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import Memo, space_free, space_led, text_slices
-from .shared import path_exists
+from .chunks import LETTERS, PUNCTUATION, Memo, arrow_slices, space_free, space_led
+from .shared import keyed_join, path_exists, written
 
 #: Texts that are given to the library at a time.
 BATCH = 2048
@@ -77,77 +77,106 @@ def _drops_space(tok) -> bool:
     return not glued and all(whole(s.join(["ab", "c1'", "ć", "9", ".", "d"])) == apart for s in (" ", "  ", "\n", "\t ", "\r\x0b\x0c")) and whole(" ab ") == whole("ab") and whole(" ") == []
 
 
-@lru_cache(maxsize=4)
-def _memo(path: str) -> Memo:
-    encode, cut = library(path)
-    return Memo(_joined(path, encode) if cut is space_led else lambda chunks: (np.array(x, "<u4").tobytes() for x in encode(chunks)))
+def _cuts_punctuation(tok) -> bool:
+    """Whether texts may be cut between letters and punctuation (chunks.LETTERS, PUNCTUATION). Shown by a
+    probe of the loaded tokenizer: of each letter beside a mark, and of each pair of marks between letters."""
+    known: dict[str, list[int]] = {}
 
+    def whole(x: str) -> list[int]:
+        if x not in known:
+            known[x] = tok.encode(x, add_special_tokens=False).ids
+        return known[x]
 
-def _joined(path: str, encode):
-    """Encodes chunks of one leading space side by side, in texts of many: as chunks don't touch each other, a
-    token that begins with a space begins the next chunk. Other chunks are encoded alone."""
-    words = _tokenizer(path).get_vocab(with_added_tokens=True)
-    leads = np.zeros(max(words.values()) + 1, bool)
-    leads[[i for w, i in words.items() if w.startswith("\u0120")]] = True
-    glued = re.compile(r" [^\s<]+").fullmatch
+    marks = [*PUNCTUATION, *(a + b for a in PUNCTUATION for b in PUNCTUATION)]
+    return all(whole(f"{c}.{c}") == whole(c) + whole(".") + whole(c) for c in LETTERS) and all(whole(f"a{m}b") == whole("a") + whole(m) + whole("b") for m in marks)
 
-    def run(chunks: list[str]) -> Iterator[bytes]:
-        plain = [x for x in chunks if glued(x)]
-        values: dict[str, bytes] = {}
+
+@lru_cache(maxsize=4)
+def _memo(path: str) -> Memo:
+    encode, cut = library(path)
+    tok = _tokenizer(path)
+    return Memo(_joined(tok, encode, cut), cut, _cuts_punctuation(tok), [t.content for t in tok.get_added_tokens_decoder().values()])
+
+
+def _joined(tok, encode, cut):
+    """Encodes pieces side by side, in texts of many, where it shows in the ids where each begins: for
+    byte-level splitting, pieces of one leading space, whose first token begins with it; else, where the
+    last token of a word is marked as such, words of letters. Other pieces are encoded alone."""
+    words = tok.get_vocab(with_added_tokens=True)
+    special = "".join({c for t in tok.get_added_tokens_decoder().values() for c in t.content[:1]})
+    marks = np.zeros(max(words.values()) + 1, bool)
+    if cut is space_led:
+        marks[[i for w, i in words.items() if w.startswith("\u0120")]] = True
+        plain_, between = re.compile(rf" [^\s{re.escape(special)}]+" if special else r" \S+").fullmatch, ""
+    else:
+        marks[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        plain_, between = re.compile(f"[{re.escape(LETTERS)}]+").fullmatch if marks.any() else (lambda x: None), " "
+
+    def run(pieces: list[str]) -> Iterator[bytes]:
+        out: list[bytes | None] = [None] * len(pieces)
+        plain = [i for i, x in enumerate(pieces) if plain_(x)]
         for k in range(0, len(plain), BATCH):
-            part = plain[k : k + BATCH]
-            ids = np.array(next(iter(encode(["".join(part)]))), "<u4")
-            at = (np.flatnonzero(leads[ids]) * 4).tolist()
+            at = plain[k : k + BATCH]
+            ids = np.array(next(iter(encode([between.join(map(pieces.__getitem__, at))]))), "<u4")
+            found = (np.flatnonzero(marks[ids]) * 4).tolist()
+            ends = [*found[1:], 4 * len(ids)] if cut is space_led else [x + 4 for x in found]
             whole = ids.tobytes()
-            values.update(zip(part, (whole[a:b] for a, b in zip(at, [*at[1:], len(whole)], strict=True)), strict=True))
-        rest = [x for x in chunks if x not in values]
-        values.update(zip(rest, (np.array(x, "<u4").tobytes() for x in encode(rest)), strict=True))
-        return map(values.__getitem__, chunks)
+            for i, a, b in zip(at, [0, *ends], ends, strict=False):
+                out[i] = whole[a:b]
+            if len(ends) != len(at):
+                raise ValueError("pieces that were encoded side by side can't be told apart")
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, encode([pieces[i] for i in rest]), strict=True):
+            out[i] = np.array(x, "<u4").tobytes()
+        return out
 
     return run
 
 
-def encode_packed(path: str, texts: list[str]) -> list[bytes]:
-    """Each text's ids by the library, as little-endian unsigned 32-bit integers."""
+def encoded(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(the ids of all texts by the library one after the other, the number of each text's)."""
     encode, cut = library(path)
-    if cut is None:
-        return [np.array(x, "<u4").tobytes() for x in encode(texts)]
-    return _memo(path).packed(texts, cut)
+    if cut is not None:
+        return _memo(path).encoded(texts)
+    parts = [np.array(x, "<u4") for x in encode(texts.to_pylist())]
+    return np.concatenate([np.zeros(0, "<u4"), *parts]), np.array([len(x) for x in parts], np.int64)
 
 
-def count_tokens(path: str, texts: list[str]) -> list[int]:
-    return [len(x) // 4 for x in encode_packed(path, texts)]
+def count_tokens(path: str, texts: pa.Array) -> np.ndarray:
+    return encoded(path, texts)[1]
 
 
 def cached_token_counts(docs: DataFrame, tokenizer: str, cache_path: str, text_col: str = "text", id_col: str = "doc_id", normalise=collapse_spaces) -> DataFrame:
     """(id, n_bytes, n_tokens) of every row, of its whole text; null counts as empty: no bytes, no tokens.
 
     The cache at cache_path (Parquet, CACHE_SCHEMA) may be missing at first. Rows of equal content,
-    however many, are encoded once: the row with the smallest id (nulls last) stands for its
-    digest; repeated ids do no harm. normalise must not change counts.
+    however many, are encoded once: the row with the smallest id (nulls last) stands for its digest.
+    Rows that repeat its id and text, or lack an id as it does, come along but are encoded once a batch.
+    normalise must not change counts. An empty table gives no rows; other columns don't matter.
     """
     spark: SparkSession = docs.sparkSession
     version = tokenizer_digest(tokenizer)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("digest", F.unhex(F.sha2(normalise(F.col("text")), 256)))
-    slim = keyed.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-
-    def cache() -> DataFrame:
-        if not path_exists(spark, cache_path):
-            return spark.createDataFrame([], CACHE_SCHEMA)
-        return spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
+    keyed = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("place", F.xxhash64("text"))
+    digest = F.unhex(F.sha2(normalise(F.col("text")), 256))
+    slim = written(keyed.select("id", "place", digest.alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")), "token-rows")
 
     def known() -> DataFrame:
-        own = cache().where(F.col("tokenizer_sha256") == version)
+        if not path_exists(spark, cache_path):
+            return spark.createDataFrame([], "digest binary, n_tokens long")
+        own = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer_sha256") == version)
         return own.groupBy(F.col("content_sha256").alias("digest")).agg(F.max("n_tokens").alias("n_tokens"))
 
-    first = slim.groupBy("digest").agg(F.min("id").alias("first_id")).join(known(), "digest", "left_anti")
-    misses = keyed.join(first.withColumnRenamed("digest", "first_digest"), F.col("id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest")), "left_semi")
+    first = slim.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "place")).alias("first")).join(known(), "digest", "left_anti")
+    first = first.select("digest", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"))
+    misses = keyed.join(first, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("place") == F.col("first_place")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array([version] * part.num_rows, pa.string()), pa.array(count_tokens(tokenizer, texts), pa.int64())], names=["content_sha256", "tokenizer_sha256", "n_tokens"])
+        for part, texts in arrow_slices(batches, "text"):
+            _, at = np.unique(part.column("digest").dictionary_encode().indices.to_numpy(), return_index=True)
+            at = pa.array(at)
+            yield pa.RecordBatch.from_arrays([part.column("digest").take(at), pa.array([version] * len(at), pa.string()), pa.array(count_tokens(tokenizer, texts.take(at)), pa.int64())], names=["content_sha256", "tokenizer_sha256", "n_tokens"])
 
     found = misses.select("digest", "text").mapInArrow(encode, CACHE_SCHEMA).dropDuplicates(["content_sha256"])
     found.write.mode("append").parquet(cache_path)
-    return slim.join(known(), "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
+    return keyed_join(slim, known(), "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")

@@ -17,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import text_slices
-from .token_counts import encode_packed
+from .chunks import arrow_slices
+from .token_counts import encoded
 
 #: Documents of a shard on average, and the writer's settings.
 SHARD_DOCS = 8192
@@ -43,15 +43,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int | None
     """
     chosen = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     shards = max(1, -(-chosen.count() // shard_docs))
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, done = TaskContext.get().partitionId(), 0
-        for part, texts in text_slices(batches, "text"):
-            packed = [x + end for x in encode_packed(tokenizer, texts)]
-            sizes = np.array([len(x) // 4 for x in packed], np.int64)
+        for part, texts in arrow_slices(batches, "text"):
+            flat, sizes = encoded(tokenizer, texts)
+            if end_id is not None:
+                flat, sizes = np.insert(flat, np.cumsum(sizes), end_id), sizes + 1
             offsets = np.concatenate([[0], np.cumsum(sizes)])
-            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view("<i4")))
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.full(part.num_rows, shard, np.int32)), pa.array(done + offsets[:-1]), pa.array(sizes), ids], names=["id", "shard", "first", "n_tokens", "ids"])
             done += int(offsets[-1])
 

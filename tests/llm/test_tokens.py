@@ -6,6 +6,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -37,6 +38,41 @@ def test_automaton_equals_library():
         assert machine.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point_is_encoded_as_by_the_library():
+    machine, library = bpe_automaton.automaton(BYTE), Tokenizer.from_file(BYTE)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c < 0x30000 or 0xE0000 <= c < 0xE0200]
+    texts = ["".join(f"a{c}b 1{c}2 {c} .{c}! {c}{c}'s{c}\n{c}" for c in points[k : k + 500]) for k in range(0, len(points), 500)]
+    want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    for text, ids, packed in zip(texts, want, machine.encode_packed(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == ids, hex(ord(text[1]))
+
+
+def test_fine_cuts_change_nothing():
+    rng, marks = random.Random(9), "'.,!?;:-_#*()<>|\n \t\"~`\x01"
+    words = ["it", "s", "we", "re", "Ünder", "élan", "ĳs", "12", "ﬁ", "<|endoftext|>", "x'll", "İ", "ŉ", "中文", "\u0338", ""]
+    texts = ["".join(rng.choice(words) + rng.choice(marks) * rng.choice((0, 1, 1, 2, 3)) for _ in range(rng.randrange(12))) for _ in range(4000)]
+    for path, encode in ((BYTE, bpe_automaton.automaton(BYTE).encode_packed), (BYTE, token_counts._memo(BYTE).packed), (WORD, token_counts._memo(WORD).packed)):
+        assert token_counts._memo(path).cuts
+        want = [x.ids for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == want
+
+
+def test_small_table_still_reads_all(monkeypatch):
+    monkeypatch.setattr(bpe_automaton, "STEPS_KEPT", 5)
+    machine, library = bpe_automaton.TokenAutomaton.from_file(BYTE), Tokenizer.from_file(BYTE)
+    assert machine.encode("a walk over the table, again and again") == library.encode("a walk over the table, again and again", add_special_tokens=False).ids
+
+
+def test_a_byte_completes_one_arc():
+    """Every prefix of a word has one path: of all arcs that end at a byte exactly one is there."""
+    machine, rng = bpe_automaton.TokenAutomaton.from_file(BYTE), random.Random(4)
+    for _ in range(300):
+        machine.word("".join(rng.choice("aeinrst hlodukü") for _ in range(12)).encode())
+    for (state, byte), (_, token) in [((k >> 8, k & 255), v) for k, v in machine._table.items()]:
+        arcs = [machine._ends[to] for node, before in machine._sets[state] if (to := machine._next[node].get(byte)) is not None and machine._ends[to] >= 0 and (before < 0 or machine.has_arc(before, machine._ends[to]))]
+        assert arcs == [token]
+
+
 def test_automaton_table_equals_its_states():
     machine, rng = bpe_automaton.automaton(BYTE), random.Random(2)
     for _ in range(20000):
@@ -86,7 +122,7 @@ def test_counts_of_each_library(name):
     path = public_tokenizers.path(name)
     encode, _ = token_counts.library(path)
     texts = odd_texts(400)
-    assert token_counts.count_tokens(path, texts) == [len(x) for x in encode(texts)]
+    assert token_counts.count_tokens(path, pa.array(texts)).tolist() == [len(x) for x in encode(texts)]
 
 
 def test_token_output(spark, docs):
