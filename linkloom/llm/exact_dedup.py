@@ -1,29 +1,34 @@
 """Exact deduplication over an extendible-hash index on shared files.
 
-Rows are keyed by a 64-bit hash of their normalised text. A directory of key prefixes is doubled
-while a bucket holds more keys than it should; owner tasks process contiguous ranges of buckets,
-chain different texts of equal hash behind each other, compare bytes, and write the index to the
-shared folder. Only rows whose hash occurs more than once send their text, and copies within a
-batch are sent once; hashes of one third of all rows being equal therefore cost nothing extra.
+Every row enters the index under a 64-bit hash of its normalised text. A directory of key prefixes
+is doubled while a bucket holds more keys than it should; owner tasks process contiguous ranges of
+buckets in key order. An owner keeps a chain of the different texts of a key, told apart by their
+bytes, counts each link's rows and finds the row that stays; what it writes to the shared folder is
+the result. Bytes travel only for keys that occur more than once: one copy a batch, and of a batch's
+rows with one text one partial result, so that a text of a third of all rows costs its owner an entry
+a batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .shared import content_key, kept_once, written
+from .shared import content_key, content_sha, drop_written, kept_once, keyed_join, written
 
 #: Keys of a bucket before it splits, and the deepest directory: at most 2^16 entries, which bounds
 #: what the driver holds; where they don't suffice, buckets grow.
 BUCKET_KEYS, MAX_DEPTH = 2048, 16
 #: Hashes that occur repeatedly are broadcast up to this number (8 bytes each), else joined by a shuffle.
 BROADCAST_KEYS = 500_000
+ENTRY = ["owner", "bucket", "h", "part", "sha", "norm", "size", "n", "id", "row"]
 
 
 @dataclass
@@ -70,24 +75,24 @@ def without_spaces(text: Column) -> Column:
     return F.translate(text, " \t\n\x0b\f\r", "")
 
 
-def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", normalise=without_spaces, hash_bits: int = 62, bucket_keys: int = BUCKET_KEYS, extra: dict[str, Column] | None = None) -> DataFrame:
+def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", normalise=without_spaces, hash_bits: int = 62, bucket_keys: int = BUCKET_KEYS, extra: dict[str, Column] | None = None, same: Callable[[pa.Buffer, pa.Buffer], bool] = pa.Buffer.equals) -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256) of every row.
 
     Rows are copies if their normalised texts are the same bytes; null counts as empty, and empty
     texts are copies of each other. The one with the most code points in its original text stays,
     then the smallest id (a missing id comes last); of fully equal rows exactly one is kept. Other
-    columns don't matter; an empty table gives no rows. hash_bits is for tests, which force collisions;
-    extra adds columns computed from the row.
+    columns don't matter; an empty table gives no rows. extra adds columns computed from the row.
+    hash_bits, which forces collisions, and same, the owners' comparison, are for tests.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     norm = normalise(text)
     key = F.shiftrightunsigned(F.xxhash64(norm), 64 - hash_bits)
     sha = F.unhex(F.sha2(norm, 256))
     rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), key.alias("h"), sha.alias("sha"), F.length(text).alias("n"), *(c.alias(f"extra_{k}") for k, c in (extra or {}).items())), "dedup-rows")
-    repeated = written(rows.groupBy("h").count().where("count > 1").select("h"), "dedup-keys")
-    index = _index(docs.select(key.alias("h"), sha.alias("sha"), norm.cast("binary").alias("norm")), rows, repeated, hash_bits, bucket_keys)
-    entries = index.select(F.col("h").alias("eh"), F.col("sha").alias("esha"), "stays", "size")
-    joined = rows.join(entries, (F.col("h") == F.col("eh")) & (F.col("sha") == F.col("esha")), "left")
+    keys = written(rows.groupBy("h").agg(F.count(F.lit(1)).alias("rows")), "dedup-keys")
+    index = _index(docs.select(key.alias("h"), sha.alias("sha"), norm.cast("binary").alias("norm")), rows, keys, hash_bits, bucket_keys, same)
+    drop_written(keys)
+    joined = keyed_join(rows, index.where("size > 1").select("sha", "stays", "size"), "sha", "left")
     alone = F.col("size").isNull()
     return joined.select(
         F.col("id").alias(id_col),
@@ -99,61 +104,99 @@ def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc
     )
 
 
-def _index(texts: DataFrame, rows: DataFrame, repeated: DataFrame, bits: int, capacity: int) -> DataFrame:
-    """The written index: an entry (bucket, h, chain, sha, stays, size) for each text of repeated hashes."""
+def _index(texts: DataFrame, rows: DataFrame, keys: DataFrame, bits: int, capacity: int, same: Callable) -> DataFrame:
+    """The written index: an entry (bucket, h, chain, sha, stays, size) for each different text."""
     deepest = min(MAX_DEPTH, bits)
     cells = np.zeros(1 << deepest, np.int64)
-    for r in repeated.groupBy(F.shiftrightunsigned("h", bits - deepest).alias("cell")).count().collect():
+    for r in keys.groupBy(F.shiftrightunsigned("h", bits - deepest).alias("cell")).count().collect():
         cells[r["cell"]] = r["count"]
     n = int(cells.sum())
     directory = Directory.grown(cells, max(capacity, n >> (MAX_DEPTH - 1)))
     buckets = len(directory.local)
     owners = min(buckets, max(1, n // capacity))
-    few = n <= BROADCAST_KEYS
-    repeated_ = repeated.withColumnRenamed("h", "rh")
-    sent = texts.join(F.broadcast(repeated_) if few else repeated_, F.col("h") == F.col("rh"), "left_semi")
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Copies within a batch once, with bucket and owner."""
+    repeated = keys.where("rows > 1").select(F.col("h").alias("rh"))
+    few = repeated.count() <= BROADCAST_KEYS
+    sent = texts.join(F.broadcast(repeated) if few else repeated, F.col("h") == F.col("rh"), "left_semi")
+    kind = rows.schema["id"].dataType.simpleString()
+    entry = f"owner int, bucket long, h long, part int, sha binary, norm binary, size long, n int, id {kind}, row long"
+    id_type = to_arrow_type(rows.schema["id"].dataType)
+
+    def dealt(h: pa.Array) -> list[pa.Array]:
+        bucket = directory.of(h.to_numpy(), bits)
+        return [pa.array((bucket * owners // buckets).astype(np.int32)), pa.array(bucket), h]
+
+    def send_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts of repeated keys, copies within a batch once."""
         for batch in batches:
-            h = batch.column("h").to_numpy()
-            first: dict[tuple[int, bytes], int] = {}
-            norm = batch.column("norm")
-            for i, k in enumerate(zip(h.tolist(), batch.column("sha").to_pylist(), strict=True)):
+            norm, first = batch.column("norm"), {}
+            for i, k in enumerate(batch.column("sha").to_pylist()):
                 j = first.setdefault(k, i)
-                if i != j and norm[i].as_buffer() != norm[j].as_buffer():
+                if i != j and not norm[i].as_buffer().equals(norm[j].as_buffer()):
                     raise ValueError("two different texts have one sha256")
             own = batch.take(pa.array([*first.values()], pa.int64()))
-            bucket = directory.of(own.column("h").to_numpy(), bits)
-            yield pa.RecordBatch.from_arrays([pa.array((bucket * owners // buckets).astype(np.int32)), pa.array(bucket), *own.columns], names=["owner", "bucket", "h", "sha", "norm"])
+            none = lambda t: pa.nulls(own.num_rows, t)
+            yield pa.RecordBatch.from_arrays([*dealt(own.column("h")), pa.array(np.zeros(own.num_rows, np.int32)), own.column("sha"), own.column("norm"), none(pa.int64()), none(pa.int32()), none(id_type), none(pa.int64())], names=ENTRY)
+
+    def send_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of the rows of a batch with one text their number and the one of them that may stay."""
+        for batch in batches:
+            order = pc.sort_indices(batch, sort_keys=[("n", "descending"), ("id", "ascending"), ("row", "ascending")])
+            batch = batch.take(order)
+            _, first, size = np.unique(batch.column("sha").dictionary_encode().indices.to_numpy(), return_index=True, return_counts=True)
+            own = batch.take(pa.array(first))
+            yield pa.RecordBatch.from_arrays([*dealt(own.column("h")), pa.array(np.ones(own.num_rows, np.int32)), own.column("sha"), pa.nulls(own.num_rows, pa.binary()), pa.array(size, pa.int64()), *(own.column(c) for c in ("n", "id", "row"))], names=ENTRY)
+
+    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """An owner's entries in key order, of each key the texts first."""
+        at, links, of = None, [], {}
+
+        def closed() -> Iterator[tuple]:
+            for place, (sha, _, size, best) in enumerate(links):
+                yield (*at, place, sha, size, *best)
 
-    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of an owner's rows in key order: the chain of different texts of each hash, bytes compared."""
-        at, links, place = None, {}, 0
         for batch in batches:
             out = []
             norm = batch.column("norm")
-            for i, (bucket, h, sha) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("h").to_pylist(), batch.column("sha").to_pylist(), strict=True)):
-                if h != at:
-                    at, links, place = h, {}, 0
-                if sha not in links:
-                    links[sha] = norm[i].as_py()
-                    out.append((bucket, h, place, sha))
-                    place += 1
-                elif norm[i].as_buffer() != pa.py_buffer(links[sha]):
-                    raise ValueError("two different texts have one sha256")
-            columns = [*zip(*out, strict=True)] or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary())], names=["bucket", "h", "chain", "sha"])
-
-    dealt = sent.mapInArrow(send, "owner int, bucket long, h long, sha binary, norm binary").repartitionById(owners, "owner")
-    chained = dealt.select("bucket", "h", "sha", "norm").sortWithinPartitions("bucket", "h", "sha").mapInArrow(chain, "bucket long, h long, chain int, sha binary")
-    order = F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("no_id"), "id", "row")
-    few_ = repeated.withColumnRenamed("h", "rh")
-    best = rows.join(F.broadcast(few_) if few else few_, F.col("h") == F.col("rh"), "left_semi").groupBy(F.col("h").alias("bh"), F.col("sha").alias("bsha")).agg(F.min(order).alias("stays"), F.count(F.lit(1)).alias("size"))
-    return written(chained.join(best, (F.col("h") == F.col("bh")) & (F.col("sha") == F.col("bsha"))).select("bucket", "h", "chain", "sha", "stays", "size"), "dedup-index")
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "h", "part", "sha", "size", "n", "id", "row")]
+            for i, (bucket, h, part, sha, size, n_, id_, row) in enumerate(zip(*columns, strict=True)):
+                if (bucket, h) != at:
+                    out += closed()
+                    at, links, of = (bucket, h), [], {}
+                if part == 0:  # a text: the link that has its bytes, or a new one
+                    mine = norm[i].as_buffer()
+                    found = next((k for k, link in enumerate(links) if same(link[1], mine)), len(links))
+                    if found == len(links):
+                        links.append([sha, pa.py_buffer(mine.to_pybytes()), 0, None])
+                    of[sha] = found
+                    continue
+                if sha not in of:  # the key has one row
+                    of[sha] = len(links)
+                    links.append([sha, None, 0, None])
+                link, best = links[of[sha]], (n_, id_, row)
+                link[2] += size
+                if link[3] is None or _rank(best) < _rank(link[3]):
+                    link[3] = best
+            yield _entries(out, id_type)
+        yield _entries([*closed()], id_type)
+
+    entries = sent.mapInArrow(send_texts, entry).unionByName(rows.select("h", "sha", "n", "id", "row").mapInArrow(send_rows, entry))
+    owned = entries.repartitionById(owners, "owner").sortWithinPartitions("bucket", "h", "part", "sha")
+    found = owned.mapInArrow(chained, f"bucket long, h long, chain int, sha binary, size long, n int, id {kind}, row long")
+    return written(found.select("bucket", "h", "chain", "sha", F.struct("id", "row").alias("stays"), "size"), "dedup-index")
+
+
+def _rank(row: tuple) -> tuple:
+    n, id_, place = row
+    return (-n, id_ is None, 0 if id_ is None else id_, place)
+
+
+def _entries(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), id_type, pa.int64()]
+    columns = [*zip(*rows, strict=True)] or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["bucket", "h", "chain", "sha", "size", "n", "id", "row"])
 
 
 def without_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows that stay, with all their columns; one of each group, also where rows repeat an id."""
-    kept = exact_duplicates(docs, text_col, id_col, extra={"key": content_key(id_col, text_col)}).where("kept")
-    return kept_once(docs, kept, id_col, text_col)
+    found = exact_duplicates(docs, text_col, id_col, extra={"key": content_key(id_col, text_col), "sha": content_sha(text_col)}).where("kept")
+    return kept_once(docs, found.select("key", F.col(id_col).alias("id"), "sha"), id_col, text_col)

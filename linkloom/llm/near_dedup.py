@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import text_slices
-from .shared import content_key, kept_once, written
+from .shared import content_key, content_sha, drop_written, hot_keys, kept_once, keyed_join, written
 
 #: Members, and shingles of them, of a tile on average: tiles, not groups, bound a task.
 TILE, TILE_SHINGLES = 1024, 400_000
@@ -140,28 +140,29 @@ def _sketches(docs: DataFrame, config: NearConfig) -> DataFrame:
                     digest.append(None)
                     bands.append(None)
                     sigs.append(None)
-            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("id"), part.column("key"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=["row", "id", "key", "n", "digest", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row", "id", "key", "sha")), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=["row", "id", "key", "sha", "n", "digest", "bands", "sig"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"row long, id {kind}, key long, n long, digest binary, bands array<long>, sig binary")
+    return docs.mapInArrow(run, f"row long, id {kind}, key long, sha binary, n long, digest binary, bands array<long>, sig binary")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, config: NearConfig) -> DataFrame:
-    """(node, hashes) of the wanted (node, first_id, digest): their texts are read again by id."""
-    texts = docs.select("id", "text").join(wanted, F.col("id").eqNullSafe(F.col("first_id")))
+    """(node, hashes) of the wanted (node, first_id, first_key, digest): the texts of their first rows are read
+    again, found by id and content key."""
+    texts = docs.select("id", "key", "text").join(wanted, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches, "text"):
             keep, sets = [], []
             for i, (text, digest) in enumerate(zip(texts, part.column("digest").to_pylist(), strict=True)):
                 packed = shingle_set(text, config.shingle_words).tobytes()
-                if blake2b(packed, digest_size=16).digest() == digest:  # an id may be repeated with other texts
+                if blake2b(packed, digest_size=16).digest() == digest:  # the key is a hash: the digest decides
                     keep.append(i)
                     sets.append(packed)
             yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(keep, pa.int64())), pa.array(sets, pa.binary())], names=["node", "hashes"])
 
     found = texts.select("node", "digest", "text").mapInArrow(run, "node long, hashes binary")
-    return written(found, "near-sets")
+    return written(found.dropDuplicates(["node"]), "near-sets")
 
 
 def _least_alike(size: np.ndarray, config: NearConfig) -> np.ndarray:
@@ -232,7 +233,7 @@ def _beside_the_stars(members: DataFrame, star: DataFrame, roots: DataFrame, sig
         sides = [table.filter(pa.array(x)) for x in (asks, ~asks)]
         (p_node, p_root, p_far), (q_node, q_root, q_far) = ([t[c].to_numpy().copy() for c in ("node", "root", "distance")] for t in sides)
         packed = [[np.frombuffer(x.as_buffer(), "<u8") for x in t["hashes"].combine_chunks()] for t in sides]
-        size = np.array([len(x) for x in packed[1]])
+        size = np.array([len(x) for x in packed[1]], np.int64)
         flat = np.concatenate(packed[1]) if packed[1] else np.zeros(0, np.uint64)
         order = np.argsort(flat, kind="stable")
         values, owner = flat[order], np.repeat(np.arange(len(size)), size)[order]
@@ -261,8 +262,8 @@ def _beside_the_stars(members: DataFrame, star: DataFrame, roots: DataFrame, sig
 
 def _all_links(bands: DataFrame, sigs: DataFrame, sets: DataFrame, config: NearConfig) -> DataFrame:
     """Links (a, b) that connect what the buckets' links connect. bands: (band, node) of shared buckets."""
-    hubs = bands.groupBy(F.col("band").alias("of")).agg(F.min("node").alias("hub"))
-    members = written(bands.join(hubs, F.col("band") == F.col("of")).where("node <> hub").select("hub", "node").distinct(), "near-members")
+    hubs = bands.groupBy("band").agg(F.min("node").alias("hub"))
+    members = written(keyed_join(bands, hubs, "band").where("node <> hub").select("hub", "node").distinct(), "near-members")
     star = _confirmed(members.select(F.col("hub").alias("a"), F.col("node").alias("b")), sigs, sets, config)
     linked = star.where("linked").select("a", "b")
     return linked.unionByName(_beside_the_stars(members, star, components(linked), sigs, sets, config))
@@ -275,16 +276,19 @@ def components(links: DataFrame) -> DataFrame:
     shrink fast; rounds are written, so no round is computed again.
     """
     edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b"), "near-edges")
+    hubs = hot_keys(edges, "b")
     labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "near-labels")
     while True:
         of = labels.select(F.col("node").alias("b"), F.col("root").alias("theirs"))
-        least = edges.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("theirs").alias("theirs"))
-        step = labels.join(least, "node").select("node", F.col("root").alias("before"), F.least("root", "theirs").alias("root"))
+        least = keyed_join(edges, of, "b", hot=hubs).groupBy(F.col("a").alias("node")).agg(F.min("theirs").alias("theirs"))
+        step = written(labels.join(least, "node").select("node", F.col("root").alias("before"), F.least("root", "theirs").alias("root")), "near-step")
         up = labels.select(F.col("node").alias("root"), F.col("root").alias("higher"))
-        new = written(step.join(up, "root", "left").select("node", "before", F.least("root", "higher").alias("root")), "near-labels")
+        new = written(keyed_join(step, up, "root", "left").select("node", "before", F.least("root", "higher").alias("root")), "near-labels")
         changed = new.where("root <> before").limit(1).count()
+        drop_written(step)
         labels = new.select("node", "root")
         if not changed:
+            drop_written(edges)
             return labels
 
 
@@ -304,28 +308,30 @@ def without_near_copies(docs: DataFrame, config: NearConfig = NearConfig(), text
     """One row of each component, the one with the least id, with all its columns. Rows without words stay."""
     rows = written(_grouped(docs, config, text_col, id_col), "near-rows")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
-    first = rows.where("root is not null").groupBy("root").agg(F.min(F.struct(order.alias("o"), F.col("key"))).alias("first")).select("first.key")
-    return kept_once(docs, first.unionByName(rows.where("root is null").select("key")), id_col, text_col)
+    first = rows.where("root is not null").groupBy("root").agg(F.min(F.struct(order.alias("o"), "key", "id", "sha")).alias("first")).select("first.key", "first.id", "first.sha")
+    return kept_once(docs, first.unionByName(rows.where("root is null").select("key", "id", "sha")), id_col, text_col)
 
 
 def _grouped(docs: DataFrame, config: NearConfig, text_col: str, id_col: str) -> DataFrame:
-    """(row, id, key, n, root, component_id); root, a component's number, is null for empty sets."""
-    chosen = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), content_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    """(row, id, key, sha, n, root, component_id); root, a component's number, is null for empty sets."""
+    chosen = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), content_key(id_col, text_col).alias("key"), content_sha(text_col).alias("sha"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     sketches = written(_sketches(chosen, config), "near-sketches")
-    classes = sketches.where("digest is not null").groupBy("digest").agg(F.min("id").alias("first_id"))
-    classes = written(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id"), "near-classes")
-    of = classes.select("node", F.col("digest").alias("class"), "first_id")
-    first = sketches.join(of, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("class")))
+    classes = sketches.where("digest is not null").groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("first.id").alias("first_id"), F.col("first.key").alias("first_key")), "near-classes")
+    of = classes.select("node", F.col("digest").alias("class"), "first_id", "first_key")
+    first = sketches.join(of, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")) & (F.col("digest") == F.col("class")))
     first = written(first.select("node", "n", "bands", "sig").dropDuplicates(["node"]), "near-firsts")
     bands = first.select("node", F.explode("bands").alias("band"))
     shared = bands.groupBy(F.col("band").alias("of")).agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("of")
     bands = written(bands.join(shared, F.col("band") == F.col("of")).select("band", "node"), "near-bands")
-    wanted = classes.join(bands.select(F.col("node").alias("wanted")).distinct(), F.col("node") == F.col("wanted")).select("node", "first_id", "digest")
-    links = _all_links(bands, first.select("node", "n", "sig"), _full_sets(chosen, wanted, config), config)
+    wanted = classes.join(bands.select(F.col("node").alias("wanted")).distinct(), F.col("node") == F.col("wanted")).select("node", "first_id", "first_key", "digest")
+    sets = _full_sets(chosen, wanted, config)
+    links = _all_links(bands, first.select("node", "n", "sig"), sets, config)
     roots = components(links)
-    placed = classes.join(roots.withColumnRenamed("node", "linked_node"), F.col("node") == F.col("linked_node"), "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
+    placed = written(classes.join(roots.withColumnRenamed("node", "linked_node"), F.col("node") == F.col("linked_node"), "left").select("digest", "first_id", F.coalesce("root", "node").alias("root")), "near-placed")
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = written(placed.join(least, "root").select(F.col("digest").alias("class"), "component_id", "root"), "near-named")
-    joined = sketches.select("row", "id", "key", "n", "digest").join(named, F.col("digest") == F.col("class"), "left")
+    named = written(keyed_join(placed, least, "root").select("digest", "component_id", "root"), "near-named")
+    drop_written(first, bands, sets, classes, placed)
+    joined = keyed_join(sketches.select("row", "id", "key", "sha", "n", "digest"), named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return joined.select("row", "id", "key", "n", "root", component.alias("component_id"))
+    return joined.select("row", "id", "key", "sha", "n", "root", component.alias("component_id"))

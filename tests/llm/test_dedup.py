@@ -43,6 +43,37 @@ def test_exact_with_and_without_collisions(spark, bits):
     assert set(kept.values()) == {1}
 
 
+def test_exact_result_comes_from_the_chains(spark):
+    """With a comparison that finds all bytes of a key equal, texts of one key become one group."""
+    df = spark.createDataFrame([(*r, "clash", 0) for r in edge_rows()], SCHEMA).repartition(5)
+    got = exact_dedup.exact_duplicates(df, hash_bits=1, bucket_keys=2, same=lambda a, b: True).collect()
+    assert sorted((r.doc_id or -1, r.keep_id or -1, r.group_size, r.text_sha256) for r in got) != brute_exact(edge_rows())
+
+
+def test_keyed_join_splits_hot_keys(spark, monkeypatch):
+    from linkloom.llm import shared
+
+    monkeypatch.setattr(shared, "HOT_ROWS", 20)
+    rows = shared.written(spark.range(400).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN null ELSE id END AS k"), "test-rows")
+    table = spark.range(0, 500, 2).selectExpr("id AS k", "id * 10 AS v").unionByName(spark.createDataFrame([(7, 70)], "k long, v long"))
+    assert [r.k for r in shared.hot_keys(rows, "k").collect()] == [7]
+    for how in ("inner", "left"):
+        got = sorted((r.id, -1 if r.v is None else r.v) for r in shared.keyed_join(rows, table, "k", how).collect())
+        assert got == sorted((r.id, -1 if r.v is None else r.v) for r in rows.join(table, "k", how).collect())
+
+
+def test_rows_without_id_meet_their_own_class_only(spark):
+    """Many rows without an id, each with a text of its own, are one read each, not one a class."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(400)}" for _ in range(60)]
+    texts = [" ".join([*base[:k], f"x{k}", *base[k:]]) for k in range(60)] * 2
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").withColumn("n", F.monotonically_increasing_id())
+    got = near_dedup.near_duplicates(df, NearConfig(shingle_words=2))
+    rows = got.collect()
+    assert len(rows) == 120 and {r.component_id for r in rows} == {None}
+    assert near_dedup.without_near_copies(df, NearConfig(shingle_words=2)).count() == 1
+
+
 def test_exact_rows_that_stay(spark):
     df = spark.createDataFrame([(*r, "clash", i) for i, r in enumerate(edge_rows())], SCHEMA)
     out = exact_dedup.without_copies(df)
