@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import md5
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 #: Channel bits of the multi-channel blocker, from the lowest.
 CHANNELS = ["EXACT_NAME", "EXACT_CORE", "EXACT_ADDRESS", "EXACT_CANONICAL", "NAME_LSH", "ADDRESS_LSH", "NUMBER_FIRST", "NUMBER_LAST"]
@@ -34,20 +40,32 @@ def md5_int(value: Column, digits: int = 8) -> Column:
     return F.conv(F.substr(F.md5(value), F.lit(1), F.lit(digits)), 16, 10).cast("long")
 
 
-def simhash(grams: Column, bits: int = 32) -> Column:
-    """Similarity hash: bit b is 1 if at least half of the grams' md5 hashes have it; 0 without grams."""
-    hashes = F.transform(grams, lambda g: md5_int(g))
+@F.pandas_udf(LongType())
+def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """64-bit similarity hash of an array of grams: bit b is 1 if at least half of the grams' hashes (the first
+    half of md5) have it; 0 without grams."""
+    known: dict[str, bytes] = {}
+
+    def digest(gram: str) -> bytes:
+        if gram not in known:
+            if len(known) > 200_000:
+                known.clear()
+            known[gram] = md5(gram.encode()).digest()[:8]
+        return known[gram]
 
-    def count(votes: Column, h: Column) -> Column:
-        return F.transform(votes, lambda v, i: v + F.when(F.call_function("shiftright", h, i).bitwiseAND(1) == 1, 1).otherwise(-1))
+    def one(grams) -> int:
+        if grams is None or not len(grams):
+            return 0
+        bits = np.unpackbits(np.frombuffer(b"".join(map(digest, grams)), np.uint8).reshape(-1, 8), axis=1)
+        return int.from_bytes(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) >= len(grams)).tobytes(), "big", signed=True)
 
-    votes = F.aggregate(hashes, F.array_repeat(F.lit(0), bits), count)
-    places = F.transform(votes, lambda v, i: F.when(v >= 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.when(F.size(grams) == 0, F.lit(0).cast("long")).otherwise(F.aggregate(places, F.lit(0).cast("long"), lambda s, p: s + p))
+    for batch in batches:
+        yield pd.Series([one(x) for x in batch], dtype="int64")
 
 
-def bands(hash_: Column, count: int = 4, width: int = 8) -> Column:
-    return F.array(*[F.shiftright(hash_, width * b).bitwiseAND((1 << width) - 1).cast("int") for b in range(count)])
+def bands(hash_: Column, count: int = 4, width: int = 16) -> Column:
+    """Slices of a hash, the lowest first."""
+    return F.array(*[F.shiftrightunsigned(hash_, width * b).bitwiseAND((1 << width) - 1).cast("int") for b in range(count)])
 
 
 def hamming(a: Column, b: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,18 +14,18 @@ from pyspark.sql.types import StringType
 #: Latin letters that aren't a base letter with marks, and what they become.
 LETTER_PAIRS = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "þ": "th", "ł": "l", "ı": "i"}
 
-#: Legal forms at the end of a name, longer phrases first.
+#: Legal forms at the end of a name.
 LEGAL_SUFFIXES = [
-    "private limited", "pvt ltd", "limited liability company", "incorporated", "corporation", "company", "limited", "pvt", "llc", "inc", "ltd", "corp", "co", "llp", "plc", "gmbh", "lp", "sa",
+    "and co", "and company", "private limited", "pvt ltd", "co", "company", "corp", "corporation", "inc", "incorporated", "limited", "llc", "llp", "ltd", "plc", "pvt", "sas", "sarl",
 ]
 
 #: Address abbreviations.
 ADDRESS_WORDS = {
-    "apt": "apartment", "ave": "avenue", "av": "avenue", "blvd": "boulevard", "bldg": "building", "cir": "circle", "ct": "court", "dr": "drive", "fl": "floor", "hwy": "highway", "ln": "lane", "no": "number", "opp": "opposite", "pkwy": "parkway", "pl": "place", "rd": "road", "rm": "room", "sq": "square", "st": "street", "ste": "suite", "ter": "terrace", "nr": "near", "flr": "floor",
+    "apt": "apartment", "ave": "avenue", "bldg": "building", "blvd": "boulevard", "dr": "drive", "fl": "floor", "hwy": "highway", "ln": "lane", "no": "number", "rd": "road", "ste": "suite", "st": "street",
 }
 
 #: Scripts that are named; any other letter is OTHER.
-SCRIPTS = ["Latin", "Devanagari", "Telugu", "Tamil", "Kannada", "Malayalam", "Bengali", "Gujarati", "Gurmukhi", "Oriya", "Arabic"]
+SCRIPTS = ["ARABIC", "BENGALI", "CYRILLIC", "DEVANAGARI", "GUJARATI", "GURMUKHI", "KANNADA", "LATIN", "MALAYALAM", "TAMIL", "TELUGU"]
 
 
 def _fold_table() -> tuple[str, str]:
@@ -32,7 +33,7 @@ def _fold_table() -> tuple[str, str]:
     source, target = [], []
     for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
         base = unicodedata.normalize("NFD", chr(code))[0]
-        if base != chr(code) and base.isascii() and base.isalpha():
+        if base != chr(code) and "LATIN" in unicodedata.name(base, ""):
             source.append(chr(code))
             target.append(base)
     return "".join(source), "".join(target)
@@ -166,7 +167,7 @@ def latin_folded(view: Column) -> Column:
     return F.translate(view, _ACCENTED, _BASE)
 
 
-_SUFFIX = "( (" + "|".join(LEGAL_SUFFIXES) + "))+$"
+_SUFFIX = "( (" + "|".join(sorted(LEGAL_SUFFIXES, key=lambda x: -len(x.split()))) + "))+$"
 
 
 def core_name(view: Column) -> Column:
@@ -185,16 +186,30 @@ def token_sorted(view: Column) -> Column:
 
 
 def numeric_tokens(view: Column) -> Column:
-    """Tokens of digits with letters behind them, in order, repeats kept."""
-    return F.filter(words(view), lambda t: t.rlike("^[0-9]+[a-z]*$"))
+    """Digits of any script with Latin letters behind them that stand alone, in order, repeats kept."""
+    return F.regexp_extract_all(view, F.lit(r"(?<![\p{L}\p{N}_])(\p{Nd}+[a-zıſ]*)(?![\p{L}\p{N}_])"), 1)
+
+
+@lru_cache(maxsize=1)
+def _script_ranges() -> dict[str, str]:
+    """Script -> the code points, as ranges of a character class, of the letters that are named after it."""
+    found: dict[str, list[list[int]]] = {s: [] for s in SCRIPTS}
+    for code in range(0x20000):
+        if chr(code).isalpha() and (script := next((s for s in SCRIPTS if s in unicodedata.name(chr(code), "")), None)):
+            ranges = found[script]
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return {s: "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges) for s, ranges in found.items()}
 
 
 def script_flags(raw: Column) -> Column:
-    """Sorted names of the scripts of its letters."""
+    """Sorted names of the scripts of its letters, by the letters' Unicode names."""
     raw = F.coalesce(raw, F.lit(""))
-    known = "".join(rf"\p{{Is{s}}}" for s in SCRIPTS)
-    named = [F.when(raw.rlike(rf"[\p{{L}}&&[\p{{Is{s}}}]]"), s.upper()) for s in SCRIPTS]
-    other = F.when(raw.rlike(rf"[\p{{L}}&&[^{known}]]"), "OTHER")
+    ranges = _script_ranges()
+    named = [F.when(raw.rlike(f"[{ranges[s]}]"), s) for s in SCRIPTS]
+    other = F.when(raw.rlike(rf"[\p{{L}}&&[^{''.join(ranges.values())}]]"), "OTHER")
     return F.array_sort(F.array_compact(F.array(*named, other)))
 
 

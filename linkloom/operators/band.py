@@ -64,5 +64,5 @@ def house_numbers(pair: DataFrame) -> DataFrame:
         "hn_suffix": some(lambda x, y: (x != y) & (F.endswith(x, y) | F.endswith(y, x))),
         "hn_lastdigit": some(lambda x, y: (x != y) & (F.length(x) == F.length(y)) & (but_last(x) == but_last(y))),
         "hn_missing": missing.cast("int"),
-        "hn_ncommon": F.size(F.array_intersect(a, b)), "hn_na": F.size(a), "hn_nb": F.size(b), "hn_only_a": F.size(F.array_except(a, b)), "hn_only_b": F.size(F.array_except(b, a)),
+        "hn_ncommon": F.size(F.array_intersect(a, b)), "hn_nA": F.size(a), "hn_nB": F.size(b), "hn_onlyA": F.size(F.array_except(a, b)), "hn_onlyB": F.size(F.array_except(b, a)),
     })

@@ -9,6 +9,8 @@ from ..functions import keys as K
 from ..functions import text as T
 
 CAP_LEAST, CAP_SHARE, TOP_K, NO_KEY = 8, 3e-5, 8, 9999
+#: Pool records that a lookup by equal names or addresses, and by bands or numbers, may return.
+MOST_EXACT, MOST_OTHER = 2000, 800
 
 
 def prepared(records: DataFrame) -> DataFrame:
@@ -32,11 +34,11 @@ def usable_keys(s1_keys: DataFrame, s1: DataFrame, cap_least: int = CAP_LEAST, c
 
 
 def key_evidence(records: DataFrame, cap_least: int = CAP_LEAST, cap_share: float = CAP_SHARE) -> DataFrame:
-    """(country, rec_id, s1_id, sA, sX, sN, nA, nX, nN, mdA, mdX, mdN, ksum, mindf) of all pairs of a pool record
-    and an S1 entity that share a usable key."""
+    """(country, rec_id, s1_id, sA, sX, sN, nA, nX, nN, mdA, mdX, mdN, cap, ksum, mindf) of all pairs of a pool
+    record and an S1 entity that share a usable key; cap is the country's."""
     all_keys = record_keys(records)
     s1_keys = all_keys.where("src = 'S1'")
-    usable = usable_keys(s1_keys, records.where("src = 'S1'"), cap_least, cap_share).drop("cap")
+    usable = usable_keys(s1_keys, records.where("src = 'S1'"), cap_least, cap_share)
     on = ["country", "ktype", "key"]
     indexed = s1_keys.select(*on, F.col("entity_id").alias("s1_id")).join(usable, on)
     shared = all_keys.where("src <> 'S1'").select(*on, F.col("entity_id").alias("rec_id")).join(indexed, on)
@@ -44,7 +46,7 @@ def key_evidence(records: DataFrame, cap_least: int = CAP_LEAST, cap_share: floa
     for t in "AXN":
         of = F.col("ktype") == t
         aggs += [F.sum(F.when(of, 1.0 / F.col("df")).otherwise(0.0)).alias(f"s{t}"), F.count_if(of).alias(f"n{t}"), F.coalesce(F.min(F.when(of, F.col("df"))), F.lit(NO_KEY)).alias(f"md{t}")]
-    pairs = shared.groupBy("country", "rec_id", "s1_id").agg(*aggs)
+    pairs = shared.groupBy("country", "rec_id", "s1_id").agg(*aggs, F.max("cap").alias("cap"))
     return pairs.withColumn("ksum", F.round(F.col("sA") + F.col("sX") + F.col("sN"), 9)).withColumn("mindf", F.least("mdA", "mdX", "mdN"))
 
 
@@ -73,11 +75,17 @@ def recall_at(pairs: DataFrame, truth: DataFrame, most: int = 16) -> DataFrame:
     return counted.join(F.broadcast(total)).select("k", "recalled", F.round(F.try_divide(F.col("recalled"), F.col("total")), 6).alias("recall"))
 
 
+def least_safe_k(curve: DataFrame, loss: float = 0.002) -> DataFrame:
+    """(k): the smallest k of recall_at's curve whose recall is within loss of that at its largest k."""
+    best = curve.agg(F.max_by("recall", "k").alias("best"))
+    return curve.join(F.broadcast(best)).where(F.col("recall") >= F.round(F.col("best") - loss, 6)).agg(F.min("k").alias("k"))
+
+
 def channel_views(records: DataFrame) -> DataFrame:
     """records with the views, hashes and numbers of the multi-channel blocker."""
     name, address = T.view_text(F.col("business_name")), T.view_text(F.col("business_address"))
     out = records.withColumns({"name_view": name, "address_view": address, "scripts": T.script_flags(F.col("business_name"))})
-    out = out.withColumns({"name_fold": T.latin_folded(F.col("name_view")), "name_core": T.core_name(F.col("name_view")), "canonical": T.canonical_address(F.col("address_view")), "address_fold": T.latin_folded(F.col("address_view"))})
+    out = out.withColumns({"name_fold": T.latin_folded(F.col("name_view")), "name_core": T.core_name(F.col("name_view")), "canonical": T.canonical_address(F.col("address_view")), "address_fold": T.latin_folded(F.col("address_view")), "address_missing": F.col("address_view") == ""})
     out = out.withColumns({
         "address_numbers": T.numeric_tokens(F.col("canonical")),
         "name_numbers": T.numeric_tokens(F.col("name_view")),
@@ -101,11 +109,15 @@ def channel_keys(views: DataFrame) -> DataFrame:
     return views.select("entity_id", "src", "country", F.explode(keys).alias("k")).select("entity_id", "src", "country", "k.bit", "k.key")
 
 
-def channel_candidates(views: DataFrame) -> DataFrame:
+def channel_candidates(views: DataFrame, most_exact: int = MOST_EXACT, most_other: int = MOST_OTHER) -> DataFrame:
     """(country, s1_id, rec_id, mask) of all pairs that share a channel key: one equi-join for all channels,
-    in place of a disjunction, which would compare all pairs of a country."""
+    in place of a disjunction, which would compare all pairs of a country. A key of more pool records than
+    a lookup of its channel may return tells nothing apart and is dropped by that definition, so no key
+    joins more than these with an entity."""
     keys = channel_keys(views)
     on = ["country", "bit", "key"]
     left = keys.where("src = 'S1'").select(*on, F.col("entity_id").alias("s1_id"))
     right = keys.where("src <> 'S1'").select(*on, F.col("entity_id").alias("rec_id"))
-    return left.join(right, on).groupBy("country", "s1_id", "rec_id").agg(F.bit_or("bit").alias("mask"))
+    usable = right.groupBy(*on).agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= F.when(F.col("bit") < 1 << 4, most_exact).otherwise(most_other)).select(*on)
+    shared = left.join(usable, on).join(right, on)
+    return shared.groupBy("country", "s1_id", "rec_id").agg(F.bit_or("bit").alias("mask"))

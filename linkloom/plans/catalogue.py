@@ -12,6 +12,7 @@ from ..functions import similarity as S
 from ..functions import text as T
 from ..operators import band, blocking, consensus, decide, features, metrics, models, sampling, validate
 from ..sources import fixtures, tables
+from ..sources.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,11 +24,16 @@ def query(f: Query) -> Query:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return blocking.prepared(fixtures.er_docs(spark, d))
+    """Prepared records: written, as most plans read them several times."""
+    return stored(blocking.prepared(fixtures.er_docs(spark, d)), "records")
 
 
 def _parts(spark: SparkSession, d: str) -> DataFrame:
-    return blocking.prepared(fixtures.er_parts(spark, d))
+    return stored(blocking.prepared(fixtures.er_parts(spark, d)), "records")
+
+
+def _candidates(records: DataFrame, k: int = blocking.TOP_K) -> DataFrame:
+    return stored(blocking.ranked(blocking.key_evidence(records), k), "candidates")
 
 
 def _truth(records: DataFrame) -> DataFrame:
@@ -40,7 +46,7 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 @query
 def norm_text(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d).select("entity_id", "name", "address")
+    return blocking.prepared(fixtures.er_docs(spark, d)).select("entity_id", "name", "address")
 
 
 @query
@@ -52,17 +58,18 @@ def text_flags(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def skeletons(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d).select("entity_id", "skeleton").unionByName(_parts(spark, d).select("entity_id", "skeleton"))
+    both = [blocking.prepared(records).select("entity_id", "skeleton") for records in (fixtures.er_docs(spark, d), fixtures.er_parts(spark, d))]
+    return both[0].unionByName(both[1])
 
 
 @query
 def token_views(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d).select("entity_id", *[F.array_join(c, " ").alias(c) for c in ("name_tokens", "address_tokens", "numbers")])
+    return blocking.prepared(fixtures.er_docs(spark, d)).select("entity_id", *[F.array_join(c, " ").alias(c) for c in ("name_tokens", "address_tokens", "numbers")])
 
 
 @query
 def record_keys(spark: SparkSession, d: str) -> DataFrame:
-    return blocking.record_keys(_docs(spark, d)).select("entity_id", "ktype", "key")
+    return blocking.record_keys(blocking.prepared(fixtures.er_docs(spark, d))).select("entity_id", "ktype", "key")
 
 
 @query
@@ -107,7 +114,7 @@ def owner_partition(spark: SparkSession, d: str) -> DataFrame:
 def candidate_recall(spark: SparkSession, d: str) -> DataFrame:
     records = _docs(spark, d)
     s1 = records.where("src = 'S1'").select(F.col("entity_id").alias("s1_id"))
-    return metrics.candidate_recall(s1, blocking.ranked(blocking.key_evidence(records)), _truth(records))
+    return metrics.candidate_recall(s1, _candidates(records), _truth(records))
 
 
 @query
@@ -116,44 +123,49 @@ def recall_at_k(spark: SparkSession, d: str) -> DataFrame:
     return blocking.recall_at(blocking.ranked(blocking.key_evidence(records), 16), _truth(records))
 
 
+@query
+def least_safe_k(spark: SparkSession, d: str) -> DataFrame:
+    records = _docs(spark, d)
+    return blocking.least_safe_k(blocking.recall_at(blocking.ranked(blocking.key_evidence(records), 16), _truth(records)))
+
+
 @query
 def number_features(spark: SparkSession, d: str) -> DataFrame:
     records = _parts(spark, d)
-    pairs = blocking.ranked(blocking.key_evidence(records)).select("rec_id", "s1_id", "mindf", "mdA", "mdX", "mdN")
+    pairs = _candidates(records).select("rec_id", "s1_id", "mindf", "mdA", "mdX", "mdN", "cap")
     pair = features.paired(pairs, records, ["name", "address", "numbers", "business_name", "src"])
-    out = features.relative_df(features.pool_flags(features.number_features(pair)), F.lit(blocking.CAP_LEAST))
-    return _rounded(out, "numj").select("rec_id", "s1_id", "numj", "numeq", "lnn", "lna", "nonlat", "dom", "aempty", "is_s2", "mindf_rel", "mdA_rel", "mdX_rel", "mdN_rel")
+    out = features.relative_df(features.pool_flags(features.number_features(pair)))
+    return _rounded(out, "numj").select("rec_id", "s1_id", "numj", "numeq", "lnn", "lna", "nonlat", "dom", "aempty", "isS2", "mindf_rel", "mdA_rel", "mdX_rel", "mdN_rel")
 
 
 def _name_pairs(spark: SparkSession, d: str) -> DataFrame:
     records = _docs(spark, d)
-    pairs = blocking.ranked(blocking.key_evidence(records)).select("rec_id", "s1_id")
+    pairs = _candidates(records).select("rec_id", "s1_id")
     return features.paired(pairs, records, ["name", "skeleton", "address"])
 
 
 @query
 def ratio_features(spark: SparkSession, d: str) -> DataFrame:
-    pair = _name_pairs(spark, d)
-    a, b = F.col("a_name"), F.col("b_name")
-    return pair.select("rec_id", "s1_id", F.round(S.ratio(a, b), 6).alias("nr"), F.round(S.ratio(F.col("a_skeleton"), F.col("b_skeleton")), 6).alias("nsk"), F.round(S.token_sort_ratio(a, b), 6).alias("nso"))
+    """The ratios among the string scores, as whole numbers."""
+    return features.string_scores(_name_pairs(spark, d)).select("rec_id", "s1_id", "nr", "nsk", "nso", "ar")
 
 
 @query
 def set_partial_ratio(spark: SparkSession, d: str) -> DataFrame:
     pair = features.string_scores(_name_pairs(spark, d))
-    return _rounded(pair, "nts", "npr", "nskts", "ats", "ar", "apr").select("rec_id", "s1_id", "nts", "npr", "nskts", "ats", "ar", "apr")
+    return pair.select("rec_id", "s1_id", "nts", "npr", "nskts", "ats", "apr")
 
 
 @query
 def stage1_features(spark: SparkSession, d: str) -> DataFrame:
     records = _docs(spark, d)
-    return features.stage1_features(blocking.ranked(blocking.key_evidence(records)), records)
+    return features.stage1_features(_candidates(records), records)
 
 
 @query
 def consensus_support(spark: SparkSession, d: str) -> DataFrame:
     records = _docs(spark, d)
-    scored = blocking.ranked(blocking.key_evidence(records)).select("country", "s1_id", "rec_id", F.round("kshare", 6).alias("p1"))
+    scored = _candidates(records).select("country", "s1_id", "rec_id", F.round("kshare", 6).alias("p1"))
     found = consensus.with_consensus(scored, records, score=consensus.jaccard_100)
     return found.withColumns({c: F.round(c, 9) for c in ("bestn", "besta")})
 
@@ -162,14 +174,14 @@ def consensus_support(spark: SparkSession, d: str) -> DataFrame:
 def consensus_support_ratio(spark: SparkSession, d: str) -> DataFrame:
     """consensus_support by the operator's own token-set ratio."""
     records = _docs(spark, d)
-    scored = blocking.ranked(blocking.key_evidence(records)).select("country", "s1_id", "rec_id", F.round("kshare", 6).alias("p1"))
+    scored = _candidates(records).select("country", "s1_id", "rec_id", F.round("kshare", 6).alias("p1"))
     return consensus.with_consensus(scored, records)
 
 
 @query
 def band_idf(spark: SparkSession, d: str) -> DataFrame:
     records = _docs(spark, d)
-    pairs = blocking.ranked(blocking.key_evidence(records)).where(band.in_band(F.col("kshare"))).select("country", "s1_id", "rec_id")
+    pairs = _candidates(records).where(band.in_band(F.col("kshare"))).select("country", "s1_id", "rec_id")
     out = band.idf_profile(pairs, records, "name", "n")
     return _rounded(out, "ncom", "nmis", "next", "nmaxmis", "nmaxext", "njac")
 
@@ -177,7 +189,7 @@ def band_idf(spark: SparkSession, d: str) -> DataFrame:
 @query
 def house_number_profile(spark: SparkSession, d: str) -> DataFrame:
     records = _parts(spark, d)
-    pairs = blocking.ranked(blocking.key_evidence(records)).select("rec_id", "s1_id")
+    pairs = _candidates(records).select("rec_id", "s1_id")
     pair = band.house_numbers(features.paired(pairs, records, ["numbers"]))
     return pair.drop("a_numbers", "b_numbers")
 
@@ -237,7 +249,7 @@ def entity_lists(spark: SparkSession, d: str) -> DataFrame:
 @query
 def inference_diagnostics(spark: SparkSession, d: str) -> DataFrame:
     records = _docs(spark, d)
-    pairs = blocking.ranked(blocking.key_evidence(records))
+    pairs = _candidates(records)
     return decide.inference_diagnostics(records, pairs, decide.one_owner(pairs.where("kshare >= 0.5"), "ksum"))
 
 
@@ -281,8 +293,8 @@ def profile_source(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _channel_pairs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    views = blocking.channel_views(fixtures.er_docs(spark, d))
-    return views, blocking.channel_candidates(views)
+    views = stored(blocking.channel_views(fixtures.er_docs(spark, d)), "views")
+    return views, stored(blocking.channel_candidates(views), "channel-pairs")
 
 
 @query
@@ -340,21 +352,21 @@ def hard_negatives_ratio(spark: SparkSession, d: str) -> DataFrame:
 @query
 def inject_missed(spark: SparkSession, d: str) -> DataFrame:
     _, pairs = _channel_pairs(spark, d)
-    return decide.inject_missed(pairs.where("mask < 16").select("s1_id", "rec_id", "mask"), _truth(fixtures.er_docs(spark, d)))
+    return decide.inject_missed(pairs.select("s1_id", "rec_id", "mask"), _truth(fixtures.er_docs(spark, d)))
 
 
 @query
 def candidate_statistics(spark: SparkSession, d: str) -> DataFrame:
     records = _docs(spark, d)
     s1 = records.where("src = 'S1'").select(F.col("entity_id").alias("s1_id"), sampling.assign_split(F.col("entity_id")).alias("split"), "country")
-    return metrics.candidate_statistics(s1, blocking.ranked(blocking.key_evidence(records)).select("s1_id", "rec_id"), _truth(records))
+    return metrics.candidate_statistics(s1, _candidates(records).select("s1_id", "rec_id"), _truth(records))
 
 
 @query
 def name_address_views(spark: SparkSession, d: str) -> DataFrame:
     views = blocking.channel_views(fixtures.er_docs(spark, d))
     joined = [F.array_join(c, " ").alias(c) for c in ("address_numbers", "scripts")]
-    return views.select("entity_id", "name_view", "name_fold", "name_core", T.token_sorted(F.col("name_fold")).alias("name_sorted"), "canonical", "tail", *joined)
+    return views.select("entity_id", "name_view", "name_fold", "name_core", T.token_sorted(F.col("name_fold")).alias("name_sorted"), "canonical", "tail", "address_missing", *joined)
 
 
 @query
@@ -397,10 +409,10 @@ def embedding_cosine(spark: SparkSession, d: str) -> DataFrame:
 def pair_model_oof(spark: SparkSession, d: str) -> DataFrame:
     """Out-of-fold scores of a small boosted model on native pair features, summarised per country."""
     records = _docs(spark, d)
-    pairs = blocking.ranked(blocking.key_evidence(records))
+    pairs = _candidates(records)
     pair = features.number_features(features.paired(pairs, records, ["name", "numbers"]))
     truth = _truth(records).withColumn("label", F.lit(1))
     names = ["ksum", "kshare", "kgap", "krank", "ncand_rec", "nA", "nX", "nN", "numj", "numeq"]
-    rows = pair.join(truth, ["s1_id", "rec_id"], "left").na.fill(0, ["label"]).select("country", "s1_id", "rec_id", F.col("a_name").alias("name"), "label", *names).cache()
-    out = models.out_of_fold(rows, lambda: models.boosted(names, trees=5))
+    rows = pair.join(truth, ["s1_id", "rec_id"], "left").na.fill(0, ["label"]).select("country", "s1_id", "rec_id", F.col("a_name").alias("name"), "label", *names)
+    out = models.out_of_fold(stored(rows, "pair-rows"), lambda: models.boosted(names, trees=5))
     return out.groupBy("country").agg(F.count(F.lit(1)).alias("pairs"), F.sum("label").alias("positives"), F.count_if((F.col("p1") >= 0.5) & (F.col("label") == 1)).alias("hits"))

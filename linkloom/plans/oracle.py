@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from ..functions.text import ADDRESS_WORDS, LEGAL_SUFFIXES, LETTER_PAIRS
-from ..operators.metrics import FINE_GRID, GRID
+#: Fixed values of the definitions, stated here again so that the twins don't share the queries' tables.
+LETTER_PAIRS = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "þ": "th", "ł": "l", "ı": "i"}
+LEGAL_SUFFIXES = "and co|and company|private limited|pvt ltd|co|company|corp|corporation|inc|incorporated|limited|llc|llp|ltd|plc|pvt|sas|sarl"
+ADDRESS_WORDS = "apt apartment,ave avenue,bldg building,blvd boulevard,dr drive,fl floor,hwy highway,ln lane,no number,rd road,ste suite,st street"
+#: Thresholds: 0.30 to 0.95 by 0.05; 0.05 to 0.95 by 0.02 and four above.
+GRID = [x / 100 for x in range(30, 100, 5)]
+FINE_GRID = [x / 100 for x in range(5, 97, 2)] + [0.97, 0.98, 0.99, 0.995]
 
 
 def _norm(x: str) -> str:
@@ -86,7 +91,7 @@ evidence AS (
   SELECT p.country, p.entity_id AS rec_id, s.entity_id AS s1_id,
     sum(CASE WHEN ktype = 'A' THEN 1.0::DOUBLE / df ELSE 0 END) AS sA, count(*) FILTER (ktype = 'A') AS nA, coalesce(min(df) FILTER (ktype = 'A'), 9999) AS mdA,
     sum(CASE WHEN ktype = 'X' THEN 1.0::DOUBLE / df ELSE 0 END) AS sX, count(*) FILTER (ktype = 'X') AS nX, coalesce(min(df) FILTER (ktype = 'X'), 9999) AS mdX,
-    sum(CASE WHEN ktype = 'N' THEN 1.0::DOUBLE / df ELSE 0 END) AS sN, count(*) FILTER (ktype = 'N') AS nN, coalesce(min(df) FILTER (ktype = 'N'), 9999) AS mdN
+    sum(CASE WHEN ktype = 'N' THEN 1.0::DOUBLE / df ELSE 0 END) AS sN, count(*) FILTER (ktype = 'N') AS nN, coalesce(min(df) FILTER (ktype = 'N'), 9999) AS mdN, max(cap) AS cap
   FROM keys p JOIN usable u USING (country, ktype, key) JOIN keys s USING (country, ktype, key) WHERE p.src <> 'S1' AND s.src = 'S1' GROUP BY 1, 2, 3),
 pairs AS (SELECT *, round(sA + sX + sN, 9) AS ksum, least(mdA, mdX, mdN) AS mindf FROM evidence),
 ranked AS (SELECT *, count(*) OVER r AS ncand_rec, row_number() OVER (r ORDER BY ksum DESC, s1_id) - 1 AS krank, ksum / max(ksum) OVER r AS kshare,
@@ -104,7 +109,7 @@ def _with(*parts: str) -> str:
 _D, _P = _with(DOCS, _prepared("er_docs")), _with(PARTS, _prepared("er_parts"))
 _DE, _PE = _with(DOCS, _prepared("er_docs"), KEYS, EVIDENCE, TRUTH), _with(PARTS, _prepared("er_parts"), KEYS, EVIDENCE)
 _E = _with(EVAL)
-_EVIDENCE_ROWS = "SELECT country, rec_id, s1_id, round(sA, 6) AS sA, round(sX, 6) AS sX, round(sN, 6) AS sN, nA, nX, nN, mdA, mdX, mdN, round(ksum, 6) AS ksum, mindf FROM pairs"
+_EVIDENCE_ROWS = "SELECT country, rec_id, s1_id, round(sA, 6) AS sA, round(sX, 6) AS sX, round(sN, 6) AS sN, nA, nX, nN, mdA, mdX, mdN, cap, round(ksum, 6) AS ksum, mindf FROM pairs"
 _TOP_ROWS = "SELECT country, rec_id, s1_id, ncand_rec, krank, round(kshare, 6) AS kshare, round(kgap, 6) AS kgap, mindf FROM top"
 _COUNTS = "counts AS (SELECT e.s1_id, e.country, coalesce(sum(label), 0) AS nt, count(*) FILTER (score >= 0.5) AS np, coalesce(sum(label) FILTER (score >= 0.5), 0) AS tp FROM entities e LEFT JOIN scored s USING (s1_id) GROUP BY 1, 2)"
 _EC = _with(EVAL, _COUNTS)
@@ -161,8 +166,8 @@ found AS (SELECT country, s1_id, rec_id, count(*) FILTER (sa >= 90 AND sn >= 80)
     max(sn * pm) AS bestn, max(sa * pm) AS besta, count(*) FILTER (len(xn) > 0 AND xn = yn) AS numagree FROM others GROUP BY 1, 2, 3)
 """
 
-_CORE = "( (" + "|".join(LEGAL_SUFFIXES) + "))+$"
-_ADDRESS_MAP = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in ADDRESS_WORDS.items()) + "}"
+_CORE = f"( ({LEGAL_SUFFIXES}))+$"
+_ADDRESS_MAP = "MAP {" + ", ".join("'{}': '{}'".format(*x.split()) for x in ADDRESS_WORDS.split(",")) + "}"
 
 
 def _view(x: str) -> str:
@@ -175,9 +180,10 @@ def _grams(x: str) -> str:
 
 
 def _simhash(grams: str) -> str:
-    votes = "list_sum(list_transform(h, lambda v: CASE WHEN (v >> b::INTEGER) & 1 = 1 THEN 1 ELSE -1 END))"
-    hashes = f"list_transform({grams}, lambda g: {_md5('g')})"
-    return f"list_transform([{hashes}], lambda h: CASE WHEN len(h) = 0 THEN 0::BIGINT ELSE list_sum(list_transform(range(32), lambda b: CASE WHEN {votes} >= 0 THEN 1::BIGINT << b::INTEGER ELSE 0::BIGINT END))::BIGINT END)[1]"
+    """Bits of the 64-bit hash as a list, the lowest first; a gram's hash is two numbers of 32 bits."""
+    part = lambda of, at: f"list_transform({of}, lambda g: ('0x' || substr(md5(g), {at}, 8))::UBIGINT::BIGINT)"
+    bit = lambda of: f"list_transform(range(32), lambda b: CASE WHEN len(p.{of}) > 0 AND 2 * len(list_filter(p.{of}, lambda v: (v >> b::INTEGER) & 1 = 1)) >= len(p.{of}) THEN 1 ELSE 0 END)"
+    return f"list_transform([{grams}], lambda q: list_transform([{{'lo': {part('q', 9)}, 'hi': {part('q', 1)}}}], lambda p: list_concat({bit('lo')}, {bit('hi')}))[1])[1]"
 
 
 def _views() -> str:
@@ -195,9 +201,10 @@ views AS (SELECT *, coalesce(address_numbers[1], '') AS first_number, coalesce(a
 
 def _channels() -> str:
     parts = [f"SELECT entity_id, src, country, {1 << i} AS bit, {c} AS key FROM views WHERE {c} <> ''" for i, c in enumerate(("name_view", "name_core", "address_view", "canonical"))]
-    parts += [f"SELECT entity_id, src, country, {1 << i}, '{b}|' || (({h} >> {8 * b}) & 255) FROM views WHERE {of} <> ''" for i, of, h in ((4, "name_view", "name_hash"), (5, "canonical", "address_hash")) for b in range(4)]
+    parts += [f"SELECT entity_id, src, country, {1 << i}, '{b}|' || array_to_string({h}[{16 * b + 1}:{16 * b + 16}], '') FROM views WHERE {of} <> ''" for i, of, h in ((4, "name_view", "name_hash"), (5, "canonical", "address_hash")) for b in range(4)]
     parts += [f"SELECT entity_id, src, country, {1 << i}, {c} || '|' || tail FROM views WHERE {c} <> '' AND tail <> ''" for i, c in ((6, "first_number"), (7, "last_number"))]
-    return "channel_keys AS (" + " UNION ALL ".join(parts) + "),\nchannel_pairs AS (SELECT country, s.entity_id AS s1_id, p.entity_id AS rec_id, bit_or(bit)::INTEGER AS mask FROM channel_keys s JOIN channel_keys p USING (country, bit, key) WHERE s.src = 'S1' AND p.src <> 'S1' GROUP BY 1, 2, 3)"
+    usable = "channel_usable AS (SELECT country, bit, key FROM channel_keys WHERE src <> 'S1' GROUP BY 1, 2, 3 HAVING count(*) <= CASE WHEN bit < 16 THEN 2000 ELSE 800 END)"
+    return "channel_keys AS (" + " UNION ALL ".join(parts) + "),\n" + usable + ",\nchannel_pairs AS (SELECT country, s.entity_id AS s1_id, p.entity_id AS rec_id, bit_or(bit)::INTEGER AS mask FROM channel_keys s JOIN channel_usable USING (country, bit, key) JOIN channel_keys p USING (country, bit, key) WHERE s.src = 'S1' AND p.src <> 'S1' GROUP BY 1, 2, 3)"
 
 
 _DV, _DC = _with(DOCS, _views()), _with(DOCS, TRUTH, _views(), _channels())
@@ -254,17 +261,19 @@ ORACLE = {
     "recall_at_k": _DE + "SELECT k::INTEGER AS k, count(h.krank) AS recalled, round(count(h.krank) / nullif((SELECT count(*) FROM truth), 0), 6) AS recall FROM range(1, 17) g(k) LEFT JOIN (SELECT krank FROM ranked JOIN truth USING (s1_id, rec_id)) h ON h.krank < k GROUP BY 1",
     "number_features": _PE + r"""SELECT rec_id, s1_id, CASE WHEN len(a.numbers) > 0 AND len(b.numbers) > 0 THEN round(len(list_intersect(a.numbers, b.numbers))::DOUBLE / len(list_distinct(list_concat(a.numbers, b.numbers))), 6) ELSE -1.0::DOUBLE END AS numj,
         CASE WHEN len(a.numbers) > 0 AND len(b.numbers) > 0 THEN (a.numbers = b.numbers)::INTEGER::DOUBLE ELSE -1.0::DOUBLE END AS numeq, length(b.name)::INTEGER AS lnn, length(b.address)::INTEGER AS lna,
-        regexp_matches(regexp_replace(b.business_name, '[\x{0000}-\x{024F}]', '', 'g'), '\p{L}')::INTEGER AS nonlat, regexp_matches(lower(b.business_name), '\.(com|net|org|in|fr|co|io)\b|^[#@]')::INTEGER AS dom, (b.address = '')::INTEGER AS aempty, (b.src = 'S2')::INTEGER AS is_s2,
-        least(mindf, 9999) / 8.0::DOUBLE AS mindf_rel, least(mdA, 9999) / 8.0::DOUBLE AS mdA_rel, least(mdX, 9999) / 8.0::DOUBLE AS mdX_rel, least(mdN, 9999) / 8.0::DOUBLE AS mdN_rel
+        regexp_matches(regexp_replace(b.business_name, '[\x{0000}-\x{024F}]', '', 'g'), '\p{L}')::INTEGER AS nonlat, regexp_matches(lower(b.business_name), '\.(com|net|org|in|fr|co|io)\b|^[#@]')::INTEGER AS dom, (b.address = '')::INTEGER AS aempty, (b.src = 'S2')::INTEGER AS "isS2",
+        least(mindf, 9999) / cap::DOUBLE AS mindf_rel, least(mdA, 9999) / cap::DOUBLE AS mdA_rel, least(mdX, 9999) / cap::DOUBLE AS mdX_rel, least(mdN, 9999) / cap::DOUBLE AS mdN_rel
         FROM top JOIN prepared a ON a.entity_id = s1_id JOIN prepared b ON b.entity_id = rec_id""",
-    "ratio_features": _DE + f"""SELECT rec_id, s1_id, round({_lcs_ratio("a.name", "b.name")}, 6) AS nr, round({_lcs_ratio("a.skeleton", "b.skeleton")}, 6) AS nsk, round({_lcs_ratio(_SORTED.format("a.name"), _SORTED.format("b.name"))}, 6) AS nso
+    "ratio_features": _DE + f"""SELECT rec_id, s1_id, round({_lcs_ratio("a.name", "b.name")}) AS nr, round({_lcs_ratio("a.skeleton", "b.skeleton")}) AS nsk, round({_lcs_ratio(_SORTED.format("a.name"), _SORTED.format("b.name"))}) AS nso,
+        CASE WHEN b.address = '' THEN -1.0::DOUBLE ELSE round({_lcs_ratio("a.address", "b.address")}) END AS ar
         FROM top JOIN prepared a ON a.entity_id = s1_id JOIN prepared b ON b.entity_id = rec_id""",
+    "least_safe_k": _DE.rstrip() + ",\ncurve AS (SELECT k, round(count(h.krank) / nullif((SELECT count(*) FROM truth), 0), 6) AS recall FROM range(1, 17) g(k) LEFT JOIN (SELECT krank FROM ranked JOIN truth USING (s1_id, rec_id)) h ON h.krank < k GROUP BY 1) SELECT min(k)::INTEGER AS k FROM curve WHERE recall >= (SELECT round(max(recall) - 0.002, 6) FROM curve)",
     "consensus_support": _with(DOCS, _prepared("er_docs"), KEYS, EVIDENCE, _CONSENSUS) + """SELECT c.country, c.s1_id, c.rec_id, p1, sum((p1 >= 0.5)::BIGINT) OVER (PARTITION BY c.country, c.s1_id)::BIGINT - (p1 >= 0.5)::BIGINT AS nconf_others,
         coalesce(sup, 0) AS sup, coalesce(cross_, 0) AS cross, round(coalesce(bestn, 0), 9) AS bestn, round(coalesce(besta, 0), 9) AS besta, coalesce(numagree, 0) AS numagree FROM conf c LEFT JOIN found f ON f.country = c.country AND f.s1_id = c.s1_id AND f.rec_id = c.rec_id""",
     "band_idf": _with(DOCS, _prepared("er_docs"), KEYS, EVIDENCE, _IDF) + "SELECT country, s1_id, rec_id, " + ", ".join(f"round(coalesce({c}, 0), 6) AS {c}" for c in ("ncom", "nmis", "next", "nmaxmis", "nmaxext")) + ", round(coalesce(ncom / (ncom + nmis + next + 1e-9), 0), 6) AS njac FROM band LEFT JOIN sums USING (country, s1_id, rec_id)",
     "house_number_profile": _with(PARTS, _prepared("er_parts"), KEYS, EVIDENCE, _HN_PAIR) + f"""SELECT rec_id, s1_id, CASE WHEN missing THEN -1 ELSE list_min(list_transform(c, lambda p: levenshtein(p.x, p.y)))::INTEGER END AS hn_min_edit, {_some("p.x = p.y")} AS hn_exact,
         {_some("p.x <> p.y AND (suffix(p.x, p.y) OR suffix(p.y, p.x))")} AS hn_suffix, {_some("p.x <> p.y AND length(p.x) = length(p.y) AND substr(p.x, 1, length(p.x) - 1) = substr(p.y, 1, length(p.y) - 1)")} AS hn_lastdigit, missing::INTEGER AS hn_missing,
-        len(list_intersect(a, b))::INTEGER AS hn_ncommon, len(a)::INTEGER AS hn_na, len(b)::INTEGER AS hn_nb, len(list_filter(a, lambda x: NOT list_contains(b, x)))::INTEGER AS hn_only_a, len(list_filter(b, lambda x: NOT list_contains(a, x)))::INTEGER AS hn_only_b FROM hn""",
+        len(list_intersect(a, b))::INTEGER AS hn_ncommon, len(a)::INTEGER AS hn_nA, len(b)::INTEGER AS hn_nB, len(list_filter(a, lambda x: NOT list_contains(b, x)))::INTEGER AS hn_onlyA, len(list_filter(b, lambda x: NOT list_contains(a, x)))::INTEGER AS hn_onlyB FROM hn""",
     "macro_fbeta": _EC + f"""SELECT country, count(*) AS entities, round(avg(f), 6) AS macro_f, round(avg(f) FILTER (nt = 0), 6) AS singleton_f, round(avg(f) FILTER (nt > 0), 6) AS linked_f,
         round(sum(tp) / nullif(sum(np), 0), 6) AS precision, round(sum(tp) / nullif(sum(nt), 0), 6) AS recall FROM (SELECT *, {_fbeta()} AS f FROM counts) GROUP BY 1""",
     "threshold_scan": _scan(GRID) + "SELECT t, macro_f, predicted, hits FROM scan",
@@ -291,12 +300,12 @@ ORACLE = {
     "channel_popcount": _DC + "SELECT mask, count(*) AS pairs, bit_count(mask)::INTEGER AS channels, array_to_string(list_filter(list_transform(['EXACT_NAME', 'EXACT_CORE', 'EXACT_ADDRESS', 'EXACT_CANONICAL', 'NAME_LSH', 'ADDRESS_LSH', 'NUMBER_FIRST', 'NUMBER_LAST'], lambda x, i: CASE WHEN (mask >> (i - 1)::INTEGER) & 1 = 1 THEN x ELSE '' END), lambda x: x <> ''), ',') AS names FROM channel_pairs GROUP BY 1",
     "ranked_pool": _DS + "SELECT s1_id, rec_id, score, place FROM pool",
     "hard_negatives": _DS + "SELECT s1_id, rec_id, label, place FROM (SELECT p.*, (t.s1_id IS NOT NULL)::INTEGER AS label, row_number() OVER (PARTITION BY p.s1_id, t.s1_id IS NOT NULL ORDER BY place) AS n FROM pool p LEFT JOIN truth t ON t.s1_id = p.s1_id AND t.rec_id = p.rec_id) WHERE label = 1 OR n <= 3",
-    "inject_missed": _DC + "SELECT coalesce(c.s1_id, t.s1_id) AS s1_id, coalesce(c.rec_id, t.rec_id) AS rec_id, coalesce(mask, 256)::INTEGER AS mask, c.s1_id IS NOT NULL AS retrieved, (t.s1_id IS NOT NULL)::INTEGER AS label FROM (SELECT * FROM channel_pairs WHERE mask < 16) c FULL JOIN truth t ON t.s1_id = c.s1_id AND t.rec_id = c.rec_id",
+    "inject_missed": _DC + "SELECT coalesce(c.s1_id, t.s1_id) AS s1_id, coalesce(c.rec_id, t.rec_id) AS rec_id, coalesce(mask, 256)::INTEGER AS mask, c.s1_id IS NOT NULL AS retrieved, (t.s1_id IS NOT NULL)::INTEGER AS label FROM channel_pairs c FULL JOIN truth t ON t.s1_id = c.s1_id AND t.rec_id = c.rec_id",
     "candidate_statistics": _DE + f"""SELECT split, country, count(*) AS entities, count(*) FILTER (nc > 0) AS with_candidate, sum(nc)::BIGINT AS links, sum(nt)::BIGINT AS true_links, sum(tp)::BIGINT AS recalled,
         count(*) FILTER (nt > 0 AND tp = nt) AS all_recalled, count(*) FILTER (nt = 0) AS singletons, round(avg({_fbeta("nt", "tp", "tp")}), 6) AS oracle_f FROM (
         SELECT p.entity_id, p.country, {_SPLIT("p.entity_id")} AS split, (SELECT count(*) FROM top WHERE top.s1_id = p.entity_id) AS nc, (SELECT count(*) FROM truth t WHERE t.s1_id = p.entity_id) AS nt,
           (SELECT count(*) FROM top JOIN truth t USING (s1_id, rec_id) WHERE t.s1_id = p.entity_id) AS tp FROM prepared p WHERE src = 'S1') GROUP BY GROUPING SETS ((split), (split, country))""",
-    "name_address_views": _DV + r"SELECT entity_id, name_view, name_fold, name_core, array_to_string(list_sort(list_filter(string_split(name_fold, ' '), lambda w: w <> '')), ' ') AS name_sorted, canonical, tail, array_to_string(address_numbers, ' ') AS address_numbers, CASE WHEN regexp_matches(business_name, '\p{L}') THEN 'LATIN' ELSE '' END AS scripts FROM views",
+    "name_address_views": _DV + r"SELECT entity_id, name_view, name_fold, name_core, array_to_string(list_sort(list_filter(string_split(name_fold, ' '), lambda w: w <> '')), ' ') AS name_sorted, canonical, tail, array_to_string(address_numbers, ' ') AS address_numbers, CASE WHEN regexp_matches(business_name, '\p{L}') THEN 'LATIN' ELSE '' END AS scripts, address_view = '' AS address_missing FROM views",
     "split_assign": _E + f"SELECT s1_id, {_SPLIT('s1_id::VARCHAR')} AS split FROM entities",
     "match_bins": _EC + "SELECT CASE WHEN nt <= 1 THEN nt::BIGINT::VARCHAR WHEN nt <= 3 THEN '2-3' WHEN nt <= 5 THEN '4-5' ELSE '6+' END AS bin, count(*) AS entities FROM counts GROUP BY 1",
     "char_ngrams": f"SELECT p_partkey, unnest({_grams('p_name')}) AS gram FROM part",

@@ -45,13 +45,18 @@ def test_flags(spark):
 def test_views(spark):
     view = one(spark, T.view_text, "  Líreque & Co., LTD. ")
     assert view == "líreque and co ltd"
+    assert one(spark, T.core_name, view) == "líreque"  # this view and its forms are fixed values
+    assert one(spark, T.core_name, "ace sa") == "ace sa" and one(spark, T.core_name, "ace sarl") == "ace" and one(spark, T.core_name, "oak and company limited") == "oak"
+    assert one(spark, T.canonical_address, "12 ct sq ter no 5 ste 2") == "12 ct sq ter number 5 suite 2"
     assert one(spark, T.latin_folded, view) == "lireque and co ltd" and one(spark, T.core_name, "apex private limited") == "apex"
     assert one(spark, T.core_name, "co ltd") == "co ltd"
     assert one(spark, T.view_text, "ＡＰＥＸ  INC") == "apex inc"
     assert one(spark, lambda s: T.canonical_address(T.view_text(s)), "1001 17th St., Apt 4B") == "1001 17th street apartment 4b"
     assert one(spark, lambda s: T.numeric_tokens(T.view_text(s)), "1001 17th St., Apt 4B") == ["1001", "17th", "4b"]
     telugu = "తె‍లుగు షాప్"
-    assert one(spark, T.script_flags, telugu) == ["TELUGU"] and one(spark, T.script_flags, "A Я") == ["LATIN", "OTHER"]
+    assert one(spark, T.script_flags, telugu) == ["TELUGU"] and one(spark, T.script_flags, "A Я") == ["CYRILLIC", "LATIN"]
+    assert one(spark, T.script_flags, "中 ª b") == ["LATIN", "OTHER"] and one(spark, T.script_flags, "12 !") == []
+    assert one(spark, T.numeric_tokens, "४२ road 12a 7é x9") == ["४२", "12a"]
     folded = one(spark, T.view_text, telugu)
     assert one(spark, T.latin_folded, folded) == folded and " " in folded
     assert one(spark, T.last_word, "12 main st 4b") == "main" and one(spark, T.last_word, "1 2") == ""
