@@ -21,13 +21,18 @@ from .chunks import text_slices
 ROUNDS = 8
 _FIRST_DAY, _LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 _MAYBE = re.compile("[0-9@]")
+#: The months' names; their first three letters are their short forms.
+MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+_MONTH = "|".join([*MONTHS, *(m[:3] for m in MONTHS)])
 #: Forms that tell where a value ends, in the order that they are tried in; a number may follow.
 _STRICT = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?!\w)",
     "isodate": r"(?<!\d)(?:19|20)\d\d-\d\d-\d\d(?!\d)",
     "dotdate": r"(?<!\d)(?<!\d\.)\d{1,2}\.\d{1,2}\.(?:19|20)\d\d(?!\d)",
+    "ymddate": r"(?<![\d/])(?:19|20)\d\d/\d{1,2}/\d{1,2}(?![\d/])",
+    "namedate": rf"(?<!\w)(?:(?:{_MONTH})\.? \d{{1,2}},? (?:19|20)\d\d|\d{{1,2}} (?:{_MONTH})\.?,? (?:19|20)\d\d)(?!\d)",
     "slashdate": r"(?<![\d/])\d{1,2}/\d{1,2}/(?:19|20)\d\d(?![\d/])",
-    "ip": r"(?<!\d)(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
+    "ip": r"(?<![\dvV])(?<!\d\.)(?<!ersion )\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\d)",
     "card 19": r"(?<!\d)(?:\d{4}[ -]){4}\d{1,3}(?!\d)",
@@ -138,26 +143,56 @@ class Pseudonyms:
         check = 98 - _mod97(body + plain[:2] + "00")
         return _placed(text, f"{plain[:2]}{check:02}{body}")
 
-    def _day(self, year: int, month: int, day: int, back: bool) -> datetime.date | None:
+    def _day(self, year: int, month: int, day: int, back: bool, fits=lambda d: True) -> datetime.date | None:
+        """The day's pseudonym among the days that fit a form: where others come, the walk goes on."""
         try:
             n = datetime.date(year, month, day).toordinal() - _FIRST_DAY
         except ValueError:
             return None
-        return datetime.date.fromordinal(_FIRST_DAY + self.permuted(n, _LAST_DAY - _FIRST_DAY + 1, "date", back))
+        while True:
+            n = self.permuted(n, _LAST_DAY - _FIRST_DAY + 1, "date", back)
+            if fits(d := datetime.date.fromordinal(_FIRST_DAY + n)):
+                return d
 
     def _isodate(self, text: str, back: bool) -> str | None:
         d = self._day(*map(int, text.split("-")), back)
         return d and d.isoformat()
 
+    def _fields(self, text: str, order: str, back: bool, fits=lambda d: True) -> str | None:
+        """A date of number fields, in their order of y, m and d; a field of one digit stays one."""
+        fields = re.findall(r"\d+", text)
+        width = dict(zip(order, map(len, fields), strict=True))
+        value = dict(zip(order, map(int, fields), strict=True))
+        d = self._day(value["y"], value["m"], value["d"], back, lambda d: (width["d"] > 1 or d.day < 10) and (width["m"] > 1 or d.month < 10) and fits(d))
+        if d is None:
+            return None
+        new = {"y": f"{d.year}", "m": f"{d.month:0{width['m']}}", "d": f"{d.day:0{width['d']}}"}
+        return _placed(text, "".join(new[f] for f in order))
+
     def _dotdate(self, text: str, back: bool) -> str | None:
-        day, month, year = map(int, text.split("."))
-        d = self._day(year, month, day, back)
-        return d and f"{d.day:02}.{d.month:02}.{d.year}"
+        return self._fields(text, "dmy", back)
+
+    def _ymddate(self, text: str, back: bool) -> str | None:
+        return self._fields(text, "ymd", back)
 
     def _slashdate(self, text: str, back: bool) -> str | None:
-        month, day, year = map(int, text.split("/"))
-        d = self._day(year, month, day, back)
-        return d and f"{d.month:02}/{d.day:02}/{d.year}"
+        """Month first, or day first where the first number can't be a month."""
+        if int(text.split("/")[0]) > 12:
+            return self._fields(text, "dmy", back, lambda d: d.day > 12)
+        return self._fields(text, "mdy", back)
+
+    def _namedate(self, text: str, back: bool) -> str | None:
+        """With the month's name, short or whole; May counts as short."""
+        name = re.search("[A-Za-z]+", text)[0]
+        short = len(name) == 3
+        month = next(i for i, m in enumerate(MONTHS, 1) if m[: len(name)] == name)
+        day, year = re.findall(r"\d+", text)
+        d = self._day(int(year), month, int(day), back, lambda d: (len(day) > 1 or d.day < 10) and (short or d.month != 5))
+        if d is None:
+            return None
+        new = MONTHS[d.month - 1]
+        numbers = iter((f"{d.day:0{len(day)}}", f"{d.year}"))
+        return re.sub(r"\d+", lambda m: next(numbers), text.replace(name, new[:3] if short else new))
 
     def replaced(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with pseudonyms, and (kind, start, end) of each in the original."""
@@ -224,7 +259,8 @@ def _placed(pattern: str, characters: str) -> str:
 
 def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, text, spans array<struct<kind, start, end>>) of every row: its whole text with pseudonyms, and
-    where in the original values stood. A null text stays null, with no spans. No shuffle."""
+    where in the original values stood. A null text stays null, with no spans; an empty table gives no rows,
+    repeated rows come out repeated, other columns don't matter. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Pseudonyms(key)

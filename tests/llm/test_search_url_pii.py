@@ -1,4 +1,5 @@
 import datetime
+import random
 import re
 from decimal import Decimal
 
@@ -85,6 +86,95 @@ def test_templates_generalise_and_reject(spark):
     assert got[200].template.startswith("/s/{rare}") and got[200].verdict == "allow"
 
 
+def brute_templates(forms, config):
+    """{(host, form): template} of [(host, form, by_rule)], by plain recursion over the definition."""
+    ways = lambda p: "end" if p is None else p[: p.index("}") + 1] if p.startswith("{") else "file" if "." in p else "word"
+    out = {}
+
+    def z(x1, n1, x2, n2):
+        if not n1 or not n2:
+            return 0
+        p = (x1 + x2) / (n1 + n2)
+        v = p * (1 - p) * (1 / n1 + 1 / n2)
+        return abs(x1 / n1 - x2 / n2) / v**0.5 if v > 0 else 0
+
+    def alike(g, b):
+        cells = [(g["w"].get(k, 0), b["w"].get(k, 0)) for k in {*g["w"], *b["w"]}]
+        x, y = (b["n"] / g["n"]) ** 0.5, (g["n"] / b["n"]) ** 0.5
+        chi = sum((v * x - w * y) ** 2 / (v + w) for v, w in cells)
+        return chi <= url_filter.CHI_SQUARE[len(cells) - 1] + 1e-9 and z(g["l"], g["n"], b["l"], b["n"]) <= config.z and z(g["b"], g["l"], b["b"], b["l"]) <= config.z
+
+    def grow(host, members, level, prefix):
+        by = {}
+        for parts, label in members:
+            if len(parts) <= level:
+                out[host, "/".join(parts)] = prefix
+            else:
+                by.setdefault(parts[level], []).append((parts, label))
+        total, words, steps = sum(map(len, by.values())), [], {}
+        for part, own in by.items():
+            if part.startswith("{"):
+                steps[part] = part
+            elif len(own) < config.least_rows or len(own) < config.least_share * total:
+                steps[part] = "{rare}"
+            else:
+                w = {}
+                for parts, _ in own:
+                    k = ways(parts[level + 1] if len(parts) > level + 1 else None)
+                    w[k] = w.get(k, 0) + 1
+                words.append({"part": part, "n": len(own), "l": sum(x is not None for _, x in own), "b": sum(x == "block" for _, x in own), "w": w, "parts": [part]})
+        groups = []
+        for b in sorted(words, key=lambda b: (-b["n"], b["part"])):
+            g = next((g for g in groups if alike(g, b)), None)
+            if g is None:
+                groups.append(b)
+            else:
+                g.update(n=g["n"] + b["n"], l=g["l"] + b["l"], b=g["b"] + b["b"], w={k: g["w"].get(k, 0) + b["w"].get(k, 0) for k in {*g["w"], *b["w"]}}, parts=g["parts"] + b["parts"])
+        for g in groups:
+            steps |= {p: "{~" + g["part"] + "}" if len(g["parts"]) > 1 else g["part"] for p in g["parts"]}
+        joined = {}
+        for part, own in by.items():
+            joined.setdefault(steps[part], []).extend(own)
+        for step, own in joined.items():
+            going = sum(len(parts) > level + 1 for parts, _ in own)
+            if going < config.least_rows:
+                for parts, _ in own:
+                    rest = [p if p.startswith("{") else "{rare}" for p in parts[level + 1 :]]
+                    out[host, "/".join(parts)] = "/".join([prefix + "/" + step, *rest])
+            else:
+                grow(host, own, level + 1, prefix + "/" + step)
+
+    hosts = {}
+    for host, form, label in forms:
+        hosts.setdefault(host, []).append((tuple(form.split("/")) if form else (), label))
+    for host, members in hosts.items():
+        grow(host, members, 0, "")
+    return out
+
+
+def test_templates_equal_brute_force(spark):
+    rng, rows = random.Random(8), []
+    for host in ("a.net", "b.net"):
+        for _ in range(1500):
+            first = rng.choice(["news", "blog", "shop", "bad", "good", "x", "y" + str(rng.randrange(40)), "q" + chr(97 + rng.randrange(26)) * 2])
+            tail = [rng.choice(["{number}", "{mixed}", "item.html", "word", "more", "{hex}"]) for _ in range(rng.randrange(4) if first != "shop" else 1)]
+            rows.append((host, "/".join([first, *tail]) if rng.random() > 0.01 else "", "block" if first == "bad" else "allow" if first == "good" else rng.choice([None, None, "block"]) if first == "x" else None))
+    df = spark.createDataFrame(rows, "host string, form string, by_rule string")
+    got = {(r.host, r.form): r.template for r in url_filter.path_templates(df).collect()}
+    assert got == brute_templates(rows, url_filter.TemplateConfig())
+
+
+def test_urls_without_rule_are_judged_by_their_node(spark):
+    """Spam sections that rules name in part: what no rule fits is blocked with them, a clean section stays."""
+    rules = [("h.net/win/a", "block"), ("h.net/win/b", "block"), ("h.net/win/c", "block"), ("h.net/doc/a", "allow")]
+    rows = [(i, f"http://h.net/win/{'abcd'[i % 4]}{'xyz'[i % 3]}offer/{i}") for i in range(400)]
+    rows += [(1000 + i, f"http://h.net/doc/{'ab'[i % 2]}page/{i}.html") for i in range(200)] + [(2000 + i, f"http://h.net/team/{i}") for i in range(100)]
+    got = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    unruled = [r for r in got.values() if r.rule is None]
+    assert {r.verdict for r in unruled if r.path.startswith("/win/")} == {"block"}
+    assert {r.verdict for r in unruled if not r.path.startswith("/win/")} == {"allow"} and 0.5 < got[2000].blocked_share < 0.9
+
+
 def test_deep_branches_are_told_apart(spark):
     rules = [("h.net/2024/05/news/all/spam/", "block"), ("h.net/2024/05/news/all/ok/", "allow")]
     rows = [(1000 * y + 100 * k + i, f"http://h.net/{2024 + y}/05/news/all/{w}/x/{i}") for y in (0, 1) for k, w in enumerate(("spam", "ok")) for i in range(60 - 40 * y)]
@@ -126,6 +216,39 @@ def test_pseudonyms_keep_format_and_links():
     assert len(set(parsed)) == 1
 
 
+DATES = ["28/02/2021", "2021/02/28", "2021/2/8", "Jan 5, 2021", "March 15, 2021", "5 January 2021", "15 Mar 2021", "9.9.2021", "5/6/2021", "May 1, 2020"]
+
+
+def test_dates_of_each_form_keep_form_and_width():
+    maker = pii.Pseudonyms(b"k")
+    for value in DATES:
+        new, spans = maker.replaced(f"on {value}; x")
+        kind, start, end = spans[0]
+        pseudonym = new[3:-3]
+        assert (start, end) == (3, 3 + len(value)) and pseudonym != value
+        assert re.sub(r"\d", "0", re.sub("[A-Z][a-z]+", "M", pseudonym)) == re.sub(r"\d", "0", re.sub("[A-Z][a-z]+", "M", value)), (value, pseudonym)
+        assert maker.pseudonym(kind, pseudonym, back=True) == value
+    for clean in ("version 1.2.3.4", "v1.2.3.4", "31/02/2021", "2021/13/45", "Smarch 5, 2021", "32 May 2021"):
+        assert maker.replaced(clean) == (clean, []), clean
+
+
+def test_permutations_of_each_date_form_are_bijections(monkeypatch):
+    """Every valid text of a form becomes another of the same form, and no two become one."""
+    maker, first = pii.Pseudonyms(b"k"), datetime.date(2019, 1, 1).toordinal()
+    monkeypatch.setattr(pii, "_FIRST_DAY", first)
+    monkeypatch.setattr(pii, "_LAST_DAY", first + 1095)
+    days = [datetime.date.fromordinal(first + i) for i in range(1096)]
+    forms = {
+        "dotdate": [f"{d.day}.{d.month}.{d.year}" for d in days if d.day < 10 and d.month < 10],
+        "slashdate": [f"{d.day:02}/{d.month:02}/{d.year}" for d in days if d.day > 12],
+        "ymddate": [f"{d.year}/{d.month}/{d.day:02}" for d in days if d.month < 10],
+        "namedate": [f"{pii.MONTHS[d.month - 1]} {d.day}, {d.year}" for d in days if d.day < 10 and d.month != 5],
+    }
+    for kind, texts in forms.items():
+        assert {maker.pseudonym(kind, x) for x in texts} == set(texts), kind
+    assert sorted(maker.permuted(i, 1000, "t") for i in range(1000)) == [*range(1000)]
+
+
 NEXT = ["12", "5", "2024", "48451681144", "190.137.223.204", "7536784127813050", "555-123-4567", "2021-02-28", "x@mail.example.com"]
 
 
