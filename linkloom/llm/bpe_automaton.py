@@ -41,8 +41,10 @@ from .chunks import Memo, arrow_slices, space_led
 #: The pre-splitting pattern of the byte-level vocabulary, over character classes: L other
 #: letters than those of the contractions, N numbers, S white space but the blank, O all else.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[Ldelmrstv]+| ?N+| ?[O']+|[ S]+(?![^ S])|[ S]+"
+#: Words that a worker keeps: fewer than before a library, as the table reads them again quickly.
+MEMO_ENTRIES = 200_000
 #: Entries of the table of byte states that a worker keeps.
-STEPS_KEPT = 250_000
+STEPS_KEPT = 120_000
 NEVER = 1 << 62
 
 
@@ -228,7 +230,7 @@ class TokenAutomaton:
     @property
     def memo(self) -> Memo:
         if not hasattr(self, "_memo"):
-            self._memo = Memo(self._pieces, space_led, True, self.special)
+            self._memo = Memo(self._pieces, space_led, True, self.special, entries=MEMO_ENTRIES)
         return self._memo
 
     def encode_packed(self, texts: list[str]) -> list[bytes]:

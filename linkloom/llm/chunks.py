@@ -18,9 +18,9 @@ import pyarrow.compute as pc
 #: Rows and characters of a slice of an Arrow batch whose texts are held as Python objects at once.
 SLICE_ROWS, SLICE_CHARS = 512, 1_000_000
 #: The same for slices that stay in Arrow: the more texts, the fewer distinct pieces a text.
-ARROW_ROWS, ARROW_CHARS = 8192, 5_000_000
+ARROW_ROWS, ARROW_CHARS = 8192, 3_000_000
 #: Entries of a worker's memo, and the longest piece that is kept in it.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 24
+MEMO_ENTRIES, MEMO_CHARS = 300_000, 24
 
 _UNSAFE = re.compile(r" (?:\s|$)")
 _BOUNDARY = re.compile(r" (?=\S)")
@@ -192,7 +192,9 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tupl
 
 
 def arrow_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """The same in larger slices, the texts staying in Arrow."""
+    """The same in larger slices, the texts staying in Arrow. What Arrow no longer needs goes back to the system,
+    as a worker outlives its task."""
     for batch in batches:
         for part in _cuts(batch, column, ARROW_ROWS, ARROW_CHARS):
             yield part, part.column(column).fill_null("")
+        pa.default_memory_pool().release_unused()

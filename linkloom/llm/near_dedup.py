@@ -63,7 +63,7 @@ class _Words(dict):
     """Word -> 64-bit hash, of bounded size."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
         if len(word) <= 64:

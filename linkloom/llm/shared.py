@@ -111,13 +111,18 @@ def content_sha(text_col: str) -> Column:
     return F.unhex(F.sha2(F.col(text_col).cast("string"), 256))
 
 
+def _tag(id_: Column, sha: Column) -> Column:
+    return F.concat_ws(":", F.coalesce(F.hex(sha), F.lit("-")), F.coalesce(id_.cast("string"), F.lit("-")))
+
+
 def kept_once(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of docs whose id and text are those of kept(key, id, sha), with all their columns; of rows that
-    repeat an id and a text one. key is their content_key, by which both are dealt; id and sha256 of the text
-    decide. One shuffle of docs: the window reuses the join's partitioning."""
-    key, theirs, their_id, their_sha, place = free_names(docs, "content_key", "kept_key", "kept_id", "kept_sha", "kept_place")
-    wanted = kept.select(F.col("key").alias(theirs), F.col("id").alias(their_id), F.col("sha").alias(their_sha)).distinct()
-    same = (F.col(key) == F.col(theirs)) & F.col(id_col).eqNullSafe(F.col(their_id)) & content_sha(text_col).eqNullSafe(F.col(their_sha))
+    repeat an id and a text one. key is their content_key, by which alone both are dealt; id and sha256 of the
+    text decide (in a form that isn't taken for a join key). One shuffle of docs: the window reuses the join's
+    partitioning."""
+    key, theirs, tag, place = free_names(docs, "content_key", "kept_key", "kept_tag", "kept_place")
+    wanted = kept.select(F.col("key").alias(theirs), _tag(F.col("id"), F.col("sha")).alias(tag)).distinct()
+    same = (F.col(key) == F.col(theirs)) & F.array_contains(F.array(tag), _tag(F.col(id_col), content_sha(text_col)))
     joined = docs.withColumn(key, content_key(id_col, text_col)).join(wanted, same, "left_semi")
     ranked = joined.withColumn(place, F.row_number().over(Window.partitionBy(key, id_col, text_col).orderBy(key)))
     return ranked.where(F.col(place) == 1).select(*docs.columns)
