@@ -11,6 +11,7 @@ from ..functions import keys as K
 from ..functions import similarity as S
 from ..functions import text as T
 from ..operators import band, blocking, consensus, decide, features, metrics, models, sampling, validate
+from ..operators import entities as manifest_ops
 from ..sources import fixtures, tables
 from ..sources.store import stored
 
@@ -398,6 +399,53 @@ def class_capped_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.class_capped(fixtures.er_eval(spark, d)[1], 2000).select("s1_id", "rec_id", "label")
 
 
+@query
+def query_manifest(spark: SparkSession, d: str) -> DataFrame:
+    records = fixtures.er_docs(spark, d)
+    views = blocking.channel_views(records)
+    lists = decide.entity_lists(records.where("src = 'S1'").select(F.col("entity_id").alias("s1_id")), _truth(records))
+    return manifest_ops.manifest(views, lists.select("s1_id", validate.parse_ids(F.col("ids")).alias("ids")))
+
+
+@query
+def missed_records(spark: SparkSession, d: str) -> DataFrame:
+    """The records of the true pairs that the candidates lack."""
+    records = _docs(spark, d)
+    lost = manifest_ops.missed(_truth(records), _candidates(records))
+    return manifest_ops.records_of(records, lost).select("entity_id", "name", "address")
+
+
+@query
+def placeholder_candidates(spark: SparkSession, d: str) -> DataFrame:
+    records = _docs(spark, d)
+    s1 = records.where("src = 'S1'").select(F.col("entity_id").alias("s1_id"), "country")
+    kept = manifest_ops.survivors(_candidates(records).select("country", "s1_id", "rec_id", "krank", F.round("kshare", 6).alias("p1")))
+    return manifest_ops.with_placeholders(s1, kept)
+
+
+@query
+def density_sample(spark: SparkSession, d: str) -> DataFrame:
+    found = manifest_ops.density_sample(_docs(spark, d), 100)
+    return _rounded(found, "kshare", "kgap").select("country", "rec_id", "s1_id", "ncand_rec", "krank", "kshare", "kgap")
+
+
+@query
+def distinct_countries(spark: SparkSession, d: str) -> DataFrame:
+    return manifest_ops.countries(fixtures.er_docs(spark, d))
+
+
+@query
+def table_counts(spark: SparkSession, d: str) -> DataFrame:
+    records = fixtures.er_docs(spark, d)
+    return manifest_ops.table_counts({name.lower(): records.where(F.col("src") == name) for name in ("S1", "S2", "S3")})
+
+
+@query
+def match_summary(spark: SparkSession, d: str) -> DataFrame:
+    records = stored(fixtures.er_docs(spark, d), "records")
+    return manifest_ops.match_summary(records.where("src = 'S1'").select(F.col("entity_id").alias("s1_id")), _truth(records))
+
+
 @query
 def embedding_cosine(spark: SparkSession, d: str) -> DataFrame:
     e = fixtures.table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").alias("v"))

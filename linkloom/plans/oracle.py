@@ -311,5 +311,12 @@ ORACLE = {
     "char_ngrams": f"SELECT p_partkey, unnest({_grams('p_name')}) AS gram FROM part",
     "universe_sample": _with(DOCS, f"chosen AS (SELECT * FROM er_docs WHERE src = 'S1' ORDER BY {_U(7, 'entity_id')}, entity_id LIMIT 100)") + f"SELECT entity_id, src FROM chosen UNION ALL SELECT entity_id, src FROM er_docs WHERE src <> 'S1' AND owner_id IN (SELECT entity_id FROM chosen) UNION ALL SELECT entity_id, src FROM er_docs WHERE src <> 'S1' AND owner_id IS NULL AND {_U(8, 'entity_id')} < 100.0::DOUBLE / (SELECT greatest(1, count(*)) FROM er_docs WHERE src = 'S1')",
     "class_capped_sample": _with(EVAL, "n AS (SELECT count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS q FROM scored)", "r AS (SELECT least(q, 2000 - least(p, 800)) AS rest, p FROM n)", "take AS (SELECT rest, least(p, 2000 - rest) AS take FROM r)") + f"SELECT s1_id, rec_id, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_U(3, chr(39) + chr(39) + ' || s1_id || ' + chr(39) + ':' + chr(39) + ' || rec_id')}, s1_id, rec_id) AS k FROM scored) CROSS JOIN take WHERE k <= CASE WHEN label = 1 THEN take ELSE rest END",
+    "query_manifest": _with(DOCS, TRUTH, _views()) + f"SELECT entity_id AS s1_id, {_SPLIT('concat_ws(chr(31), country, name_core, canonical)')} AS split, country, (SELECT count(*) FROM truth t WHERE t.s1_id = entity_id)::INTEGER AS truth_count FROM views WHERE src = 'S1'",
+    "missed_records": _DE + "SELECT entity_id, name, address FROM prepared WHERE entity_id IN (SELECT rec_id FROM truth ANTI JOIN top USING (s1_id, rec_id))",
+    "placeholder_candidates": _DE + "SELECT p.entity_id AS s1_id, p.country, coalesce(rec_id, '') AS rec_id, coalesce(krank, 0)::INTEGER AS krank, coalesce(round(kshare, 6), 0) AS p1, rec_id IS NOT NULL AS is_candidate FROM prepared p LEFT JOIN top ON top.s1_id = p.entity_id AND round(kshare, 6) >= 0.05 WHERE src = 'S1'",
+    "density_sample": _DE.rstrip() + f",\nchosen AS (SELECT entity_id FROM er_docs WHERE src = 'S1' ORDER BY {_U(7, 'entity_id')}, entity_id LIMIT 100) SELECT country, rec_id, s1_id, ncand_rec, krank, round(kshare, 6) AS kshare, round(kgap, 6) AS kgap FROM top WHERE s1_id IN (SELECT entity_id FROM chosen)",
+    "distinct_countries": "SELECT DISTINCT lang AS country FROM documents",
+    "table_counts": _with(DOCS) + "SELECT country, count(*) FILTER (src = 'S1') AS s1, count(*) FILTER (src = 'S2') AS s2, count(*) FILTER (src = 'S3') AS s3 FROM er_docs GROUP BY 1",
+    "match_summary": _with(DOCS, TRUTH) + "SELECT round(count(*) FILTER (n = 0) / nullif(count(*), 0), 6) AS singleton_rate, round(avg(n), 6) AS mean_matches, max(n) AS most_matches FROM (SELECT (SELECT count(*) FROM truth t WHERE t.s1_id = e.entity_id) AS n FROM er_docs e WHERE src = 'S1')",
     "embedding_cosine": "WITH f AS (SELECT label, arg_min(embedding, vec_id) AS w FROM embeddings GROUP BY 1) SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], w::DOUBLE[]), 6) AS cosine FROM embeddings JOIN f USING (label)",
 }
