@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from linkloom.plans import catalogue
 
 #: Queries whose candidates come from exploded keys.
-KEYED = ["candidates_topk", "candidates_evidence", "inference_diagnostics", "candidate_statistics"]
+KEYED = ["candidates_topk", "candidates_evidence", "inference_diagnostics", "candidate_statistics", "candidate_recall"]
 
 
 def broadcast_explosions(df):
