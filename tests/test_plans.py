@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from linkloom.plans import catalogue
 
 #: Queries whose candidates come from exploded keys.
-KEYED = ["candidates_topk", "candidates_evidence", "inference_diagnostics", "candidate_statistics", "candidate_recall", "one_owner", "recall_at_k", "least_safe_k", "density_sample", "placeholder_candidates", "band_idf", "ratio_features", "set_partial_ratio", "stage1_features", "consensus_support", "consensus_support_ratio", "candidates_evidence_parts"]
+KEYED = ["candidates_topk", "candidates_evidence", "inference_diagnostics", "candidate_statistics", "candidate_recall", "one_owner", "recall_at_k", "least_safe_k", "density_sample", "placeholder_candidates", "band_idf", "ratio_features", "set_partial_ratio", "stage1_features", "consensus_support", "consensus_support_ratio", "candidates_evidence_parts", "candidates_topk_parts"]
 
 
 def broadcast_explosions(df):
