@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Memo, arrow_slices, space_led
+from .chunks import HELD, Memo, arrow_slices, space_led
 
 #: The pre-splitting pattern of the byte-level vocabulary, over character classes: L other
 #: letters than those of the contractions, N numbers, S white space but the blank, O all else.
@@ -247,7 +247,8 @@ class TokenAutomaton:
 
 @lru_cache(maxsize=2)
 def automaton(path: str) -> TokenAutomaton:
-    """A worker compiles a vocabulary once."""
+    """A worker compiles a vocabulary once, until another operator takes it."""
+    HELD["automaton"], HELD["classes"] = automaton.cache_clear, library_classes.cache_clear
     return TokenAutomaton.from_file(path)
 
 

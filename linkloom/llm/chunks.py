@@ -8,6 +8,9 @@ was encoded. Memory doesn't grow with the corpus; what is not in the memo is enc
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -184,17 +187,40 @@ def _cuts(batch: pa.RecordBatch, column: str, rows: int, chars: int) -> Iterator
         yield batch.slice(begin)
 
 
+#: What empties the caches of encoders that this worker has made.
+HELD: dict[str, Callable[[], None]] = {}
+
+
+def trimmed() -> None:
+    """What Arrow and the C library no longer need goes back to the system, as a worker outlives its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def let_go() -> None:
+    """Empties the caches of encoders. Spark gives a worker to operators that don't encode, too, and would
+    count these caches against them for as long as it lives."""
+    if HELD:
+        for empty in HELD.values():
+            empty()
+        HELD.clear()
+        gc.collect()
+        trimmed()
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """The batches in slices of bounded rows and characters, with the column's texts, null as empty."""
+    """The batches in slices of bounded rows and characters, with the column's texts, null as empty: for operators
+    that don't encode, so what encoders hold in this worker goes."""
+    let_go()
     for batch in batches:
         for part in _cuts(batch, column, SLICE_ROWS, SLICE_CHARS):
             yield part, part.column(column).fill_null("").to_pylist()
 
 
 def arrow_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """The same in larger slices, the texts staying in Arrow. What Arrow no longer needs goes back to the system,
-    as a worker outlives its task."""
+    """The same in larger slices for encoders, the texts staying in Arrow."""
     for batch in batches:
         for part in _cuts(batch, column, ARROW_ROWS, ARROW_CHARS):
             yield part, part.column(column).fill_null("")
-        pa.default_memory_pool().release_unused()
+        trimmed()

@@ -1,6 +1,7 @@
 """Encoding, counting and token output against the libraries."""
 
 import random
+import weakref
 import zlib
 from hashlib import sha256
 
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from linkloom.llm import bpe_automaton, queries, token_counts, token_output
+from linkloom.llm import bpe_automaton, chunks, queries, token_counts, token_output
 from linkloom.llm.shared import new_path
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -151,3 +152,14 @@ def test_metadata_reads_leave_the_ids(spark, docs):
 
 def test_queries_run(spark, small):
     assert queries.op2_bpe_codec(spark, small).count() == queries.op6_token_counts(spark, small).count() == 200
+
+
+def test_other_operators_let_encoders_go():
+    """A worker that another operator takes doesn't keep the encoder's table and memo, and makes them again."""
+    before = bpe_automaton.automaton(BYTE)
+    ids, held = before.encode_packed(ODD), weakref.ref(before)
+    del before
+    texts = pa.RecordBatch.from_pydict({"text": ["one", None]})
+    assert [part for _, part in chunks.text_slices([texts], "text")] == [["one", ""]]
+    assert held() is None and bpe_automaton.library_classes.cache_info().currsize == 0
+    assert bpe_automaton.automaton(BYTE).encode_packed(ODD) == ids
