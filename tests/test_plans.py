@@ -6,10 +6,11 @@ keys were broadcast for that, and the driver's memory ended the query."""
 import pytest
 from pyspark.sql import functions as F
 
+from linkloom.operators import features
 from linkloom.plans import catalogue
 
 #: Queries whose candidates come from exploded keys.
-KEYED = ["candidates_topk", "candidates_evidence", "inference_diagnostics", "candidate_statistics", "candidate_recall", "one_owner", "recall_at_k", "least_safe_k", "density_sample", "placeholder_candidates", "band_idf", "ratio_features", "set_partial_ratio", "stage1_features", "consensus_support", "consensus_support_ratio", "candidates_evidence_parts", "candidates_topk_parts"]
+KEYED = ["candidates_topk", "candidates_evidence", "inference_diagnostics", "candidate_statistics", "candidate_recall", "one_owner", "recall_at_k", "least_safe_k", "density_sample", "placeholder_candidates", "band_idf", "ratio_features", "set_partial_ratio", "stage1_features", "consensus_support", "consensus_support_ratio", "candidates_evidence_parts", "candidates_topk_parts", "house_number_profile"]
 
 
 def broadcast_explosions(df):
@@ -42,3 +43,10 @@ def unwritten(monkeypatch):
 @pytest.mark.parametrize("name", KEYED)
 def test_exploded_keys_are_not_broadcast(spark, small, unwritten, name):
     assert broadcast_explosions(catalogue.QUERIES[name](spark, small)) == []
+
+
+def test_records_are_joined_by_shuffle(spark):
+    records = spark.createDataFrame([("S1-1", ["1"]), ("S2-2", ["1", "2"])], "entity_id string, numbers array<string>")
+    pair = features.paired(spark.createDataFrame([("S1-1", "S2-2")], "s1_id string, rec_id string"), records, ["numbers"])
+    assert "Broadcast" not in pair._jdf.queryExecution().executedPlan().toString()
+    assert [(r.a_numbers, r.b_numbers) for r in pair.collect()] == [(["1"], ["1", "2"])]
