@@ -46,7 +46,7 @@ def test_exploded_keys_are_not_broadcast(spark, small, unwritten, name):
 
 
 def test_records_are_joined_by_shuffle(spark):
-    records = spark.createDataFrame([("S1-1", ["1"]), ("S2-2", ["1", "2"])], "entity_id string, numbers array<string>")
-    pair = features.paired(spark.createDataFrame([("S1-1", "S2-2")], "s1_id string, rec_id string"), records, ["numbers"])
+    records = spark.sql("select * from values ('S1-1', array('1')), ('S2-2', array('1', '2')) as t(entity_id, numbers)")
+    pair = features.paired(spark.sql("select 'S1-1' as s1_id, rec_id from values ('S2-2') as t(rec_id)"), records, ["numbers"])
     assert "Broadcast" not in pair._jdf.queryExecution().executedPlan().toString()
     assert [(r.a_numbers, r.b_numbers) for r in pair.collect()] == [(["1"], ["1", "2"])]
