@@ -10,7 +10,7 @@ from linkloom.operators import features
 from linkloom.plans import catalogue
 
 #: Queries whose candidates come from exploded keys.
-KEYED = ["candidates_topk", "candidates_evidence", "inference_diagnostics", "candidate_statistics", "candidate_recall", "one_owner", "recall_at_k", "least_safe_k", "density_sample", "placeholder_candidates", "band_idf", "ratio_features", "set_partial_ratio", "stage1_features", "consensus_support", "consensus_support_ratio", "candidates_evidence_parts", "candidates_topk_parts", "house_number_profile", "number_features"]
+KEYED = ["candidates_topk", "candidates_evidence", "inference_diagnostics", "candidate_statistics", "candidate_recall", "one_owner", "recall_at_k", "least_safe_k", "density_sample", "placeholder_candidates", "band_idf", "ratio_features", "set_partial_ratio", "stage1_features", "consensus_support", "consensus_support_ratio", "candidates_evidence_parts", "candidates_topk_parts", "house_number_profile", "number_features", "pair_model_oof"]
 
 
 def broadcast_explosions(df):
