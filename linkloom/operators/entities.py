@@ -54,9 +54,10 @@ def survivors(scored: DataFrame, least: float = SURVIVES, score: str = "p1") ->
 
 def with_placeholders(entities: DataFrame, candidates: DataFrame) -> DataFrame:
     """The candidates (s1_id, strings, numbers and booleans), is_candidate true, and for each entity without
-    any a row of blanks and zeros, is_candidate false. What entities have beside s1_id comes from them."""
+    any a row of blanks and zeros, is_candidate false. What entities have beside s1_id comes from them.
+    Candidates are joined by shuffle: their file is far smaller than their rows in memory."""
     own = candidates.drop(*[c for c in entities.columns if c != "s1_id"])
-    joined = entities.join(own.withColumn("is_candidate", F.lit(True)), "s1_id", "left")
+    joined = entities.join(own.withColumn("is_candidate", F.lit(True)).hint("merge"), "s1_id", "left")
 
     def filled(field: T.StructField) -> Column:
         blank = F.lit("") if isinstance(field.dataType, T.StringType) else F.lit(0).cast(field.dataType)

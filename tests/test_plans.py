@@ -3,6 +3,8 @@
 Spark takes exploded rows to be as small as the rows they come from. At 0.1 GB of documents seven million
 keys were broadcast for that, and the driver's memory ended the query."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,3 +52,38 @@ def test_records_are_joined_by_shuffle(spark):
     pair = features.paired(spark.sql("select 'S1-1' as s1_id, rec_id from values ('S2-2') as t(rec_id)"), records, ["numbers"])
     assert "Broadcast" not in pair._jdf.queryExecution().executedPlan().toString()
     assert [(r.a_numbers, r.b_numbers) for r in pair.collect()] == [(["1"], ["1", "2"])]
+
+
+#: Queries that join the stored candidates, or records again.
+JOINED = ["placeholder_candidates"]
+
+
+def broadcast_rows(df):
+    """The broadcasts of df's plan but those of few rows by definition: ranges, and aggregates of all rows or by country."""
+    found = []
+
+    def few(node):
+        text, below = node.toString().split("\n")[0], node.children()
+        if "Aggregate" in node.nodeName() and re.search(r"keys=\[(country#\d+)?\]", text) or node.nodeName() == "Range":
+            return True
+        return below.size() > 0 and all(few(below.apply(i)) for i in range(below.size()))
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.initialPlan())
+        if node.nodeName() == "BroadcastExchange" and not few(node):
+            found.append(node.toString()[:400])
+        below = node.children()
+        for i in range(below.size()):
+            walk(below.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+@pytest.mark.parametrize("name", JOINED)
+def test_candidates_and_records_are_not_broadcast(spark, small, monkeypatch, name):
+    store = catalogue.stored
+    monkeypatch.setattr(catalogue, "stored", lambda df, label: df if label == "pair-rows" else store(df, label))
+    monkeypatch.setattr(catalogue.models, "out_of_fold", lambda rows, make: rows.withColumn("p1", F.lit(0.0)))
+    assert broadcast_rows(catalogue.QUERIES[name](spark, small)) == []
