@@ -103,21 +103,22 @@ def metric_report(counts: DataFrame, beta: float = 0.5) -> DataFrame:
 
 
 def candidate_recall(entities: DataFrame, candidates: DataFrame, truth: DataFrame) -> DataFrame:
-    """Recall of the candidates and the macro F that a perfect scorer would reach on them."""
+    """Recall of the candidates and the macro F that a perfect scorer would reach on them. Joins are by shuffle:
+    candidates and truth are far smaller as files than in memory."""
     nt = truth.groupBy("s1_id").agg(F.count(F.lit(1)).alias("nt"))
-    hits = candidates.join(truth, ["s1_id", "rec_id"]).groupBy("s1_id").agg(F.count(F.lit(1)).alias("tp"))
-    per = entities.select("s1_id").join(nt, "s1_id", "left").join(hits, "s1_id", "left").na.fill(0)
+    hits = candidates.join(truth.hint("merge"), ["s1_id", "rec_id"]).groupBy("s1_id").agg(F.count(F.lit(1)).alias("tp"))
+    per = entities.select("s1_id").join(nt.hint("merge"), "s1_id", "left").join(hits.hint("merge"), "s1_id", "left").na.fill(0)
     f = fbeta(F.col("nt"), F.col("tp"), F.col("tp"))
     return per.agg(F.sum("nt").alias("links"), F.sum("tp").alias("recalled"), F.round(F.try_divide(F.sum("tp"), F.sum("nt")), 6).alias("recall"), F.round(F.avg(f), 6).alias("ceiling"))
 
 
 def candidate_statistics(entities: DataFrame, candidates: DataFrame, truth: DataFrame) -> DataFrame:
     """Per split and per split and country: entities, those with candidates, links, recalled, fully recalled,
-    singletons and the ceiling. entities: (s1_id, split, country)."""
+    singletons and the ceiling. entities: (s1_id, split, country). Joins are by shuffle, as in candidate_recall."""
     nc = candidates.groupBy("s1_id").agg(F.count(F.lit(1)).alias("nc"))
     nt = truth.groupBy("s1_id").agg(F.count(F.lit(1)).alias("nt"))
-    hits = candidates.join(truth, ["s1_id", "rec_id"]).groupBy("s1_id").agg(F.count(F.lit(1)).alias("tp"))
-    per = entities.join(nc, "s1_id", "left").join(nt, "s1_id", "left").join(hits, "s1_id", "left").na.fill(0, ["nc", "nt", "tp"])
+    hits = candidates.join(truth.hint("merge"), ["s1_id", "rec_id"]).groupBy("s1_id").agg(F.count(F.lit(1)).alias("tp"))
+    per = entities.join(nc.hint("merge"), "s1_id", "left").join(nt.hint("merge"), "s1_id", "left").join(hits.hint("merge"), "s1_id", "left").na.fill(0, ["nc", "nt", "tp"])
     f = fbeta(F.col("nt"), F.col("tp"), F.col("tp"))
     return per.groupingSets([["split"], ["split", "country"]], "split", "country").agg(
         F.count(F.lit(1)).alias("entities"), F.count_if(F.col("nc") > 0).alias("with_candidate"), F.sum("nc").alias("links"), F.sum("nt").alias("true_links"), F.sum("tp").alias("recalled"),
