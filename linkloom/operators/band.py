@@ -30,9 +30,10 @@ def token_df(records: DataFrame, column: str) -> DataFrame:
 def idf_profile(pairs: DataFrame, records: DataFrame, column: str, prefix: str) -> DataFrame:
     """pairs (country, s1_id, rec_id) with com, mis, ext (rarity of common, S1-only and pool-only tokens),
     maxmis, maxext and jac, each with the prefix. Rarity of a token of document frequency d among n
-    records is ln((n+1)/(d+1)) / ln(n+1)."""
+    records is ln((n+1)/(d+1)) / ln(n+1). Only what a country has one row of may be broadcast."""
     view = records.select("entity_id", F.array_distinct(T.words(F.col(column))).alias("tokens"))
-    both = pairs.select("country", "s1_id", "rec_id").join(view.select(F.col("entity_id").alias("s1_id"), F.col("tokens").alias("a")), "s1_id").join(view.select(F.col("entity_id").alias("rec_id"), F.col("tokens").alias("b")), "rec_id")
+    a, b = (view.select(F.col("entity_id").alias(of), F.col("tokens").alias(x)).hint("merge") for of, x in (("s1_id", "a"), ("rec_id", "b")))
+    both = pairs.select("country", "s1_id", "rec_id").join(a, "s1_id").join(b, "rec_id")
 
     def typed(kind: str, tokens: Column) -> Column:
         return F.transform(tokens, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("token")))
@@ -42,11 +43,11 @@ def idf_profile(pairs: DataFrame, records: DataFrame, column: str, prefix: str)
     df = token_df(records, column)
     n = records.where("src = 'S1'").groupBy("country").agg(F.count(F.lit(1)).alias("n_s1"))
     idf = F.log((F.col("n_s1") + 1) / (F.coalesce("df", F.lit(0)) + 1)) / F.log(F.col("n_s1") + 1)
-    rated = exploded.join(n, "country").join(df.drop("n"), ["country", "token"], "left").withColumn("idf", idf)
+    rated = exploded.join(n, "country").join(df.drop("n").hint("merge"), ["country", "token"], "left").withColumn("idf", idf)
     of = lambda kind: F.when(F.col("kind") == kind, F.col("idf"))
     sums = rated.groupBy("country", "s1_id", "rec_id").agg(*[F.coalesce(F.sum(of(k)), F.lit(0.0)).alias(f"{prefix}{k}") for k in ("com", "mis", "ext")], *[F.coalesce(F.max(of(k)), F.lit(0.0)).alias(f"{prefix}max{k}") for k in ("mis", "ext")])
     names = [f"{prefix}{k}" for k in ("com", "mis", "ext", "maxmis", "maxext")]
-    out = pairs.join(sums, ["country", "s1_id", "rec_id"], "left").na.fill(0.0, names)
+    out = pairs.join(sums.hint("merge"), ["country", "s1_id", "rec_id"], "left").na.fill(0.0, names)
     return out.withColumn(f"{prefix}jac", F.col(f"{prefix}com") / (F.col(f"{prefix}com") + F.col(f"{prefix}mis") + F.col(f"{prefix}ext") + 1e-9))
 
 

@@ -55,7 +55,7 @@ def test_records_are_joined_by_shuffle(spark):
 
 
 #: Queries that join the stored candidates, or records again.
-JOINED = ["placeholder_candidates", "candidate_recall", "candidate_statistics"]
+JOINED = ["placeholder_candidates", "candidate_recall", "candidate_statistics", "band_idf"]
 
 
 def broadcast_rows(df):
