@@ -55,7 +55,7 @@ def test_records_are_joined_by_shuffle(spark):
 
 
 #: Queries that join the stored candidates, or records again.
-JOINED = ["placeholder_candidates", "candidate_recall", "candidate_statistics", "band_idf", "consensus_support_ratio", "consensus_support", "recall_at_k", "least_safe_k"]
+JOINED = ["placeholder_candidates", "candidate_recall", "candidate_statistics", "band_idf", "consensus_support_ratio", "consensus_support", "recall_at_k", "least_safe_k", "pair_model_oof"]
 
 
 def broadcast_rows(df):
