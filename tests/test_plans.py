@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkloom.operators import features
 from linkloom.plans import catalogue
+from linkloom.sources import fixtures
 
 #: Queries whose candidates come from exploded keys.
 KEYED = ["candidates_topk", "candidates_evidence", "inference_diagnostics", "candidate_statistics", "candidate_recall", "one_owner", "recall_at_k", "least_safe_k", "density_sample", "placeholder_candidates", "band_idf", "ratio_features", "set_partial_ratio", "stage1_features", "consensus_support", "consensus_support_ratio", "candidates_evidence_parts", "candidates_topk_parts", "house_number_profile", "number_features", "pair_model_oof"]
@@ -87,3 +88,9 @@ def test_candidates_and_records_are_not_broadcast(spark, small, monkeypatch, nam
     monkeypatch.setattr(catalogue, "stored", lambda df, label: df if label == "pair-rows" else store(df, label))
     monkeypatch.setattr(catalogue.models, "out_of_fold", lambda rows, make: rows.withColumn("p1", F.lit(0.0)))
     assert broadcast_rows(catalogue.QUERIES[name](spark, small)) == []
+
+
+def test_part_records_are_dealt_out(spark, small, monkeypatch):
+    monkeypatch.setattr(catalogue, "stored", lambda df, label: df)
+    assert fixtures.er_parts(spark, small).rdd.getNumPartitions() == 1
+    assert catalogue._parts(spark, small).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
