@@ -26,17 +26,19 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
 from pathlib import Path
+from struct import Struct
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import HELD, Memo, arrow_slices, space_led
+from .chunks import HELD, Memo, arrow_slices, let_go, space_led
 
 #: The pre-splitting pattern of the byte-level vocabulary, over character classes: L other
 #: letters than those of the contractions, N numbers, S white space but the blank, O all else.
@@ -82,6 +84,68 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+class Trie:
+    """The trie of labels in flat arrays, as a worker holds it beside all else: nodes are numbered by levels, so a
+    node's children are neighbours. trie[node].get(byte) is the child, or None."""
+
+    def __init__(self, labels: Iterable[tuple[bytes, int]]):
+        known = sorted(labels)
+        self.by, self.begin, self.ends = bytearray(1), array("i"), array("i")
+        level, depth = [(0, len(known))], 0
+        while level:
+            below = []
+            for low, high in level:
+                ended = low < high and len(known[low][0]) == depth
+                self.ends.append(known[low][1] if ended else -1)
+                self.begin.append(len(self.by))
+                low += ended
+                while low < high:
+                    byte, first = known[low][0][depth], low
+                    while low < high and known[low][0][depth] == byte:
+                        low += 1
+                    self.by.append(byte)
+                    below.append((first, low))
+            level, depth = below, depth + 1
+        self.begin.append(len(self.by))
+
+    def child(self, node: int, byte: int) -> int:
+        """The child, or -1."""
+        return self.by.find(byte, self.begin[node], self.begin[node + 1])
+
+    def goes_on(self, node: int) -> bool:
+        return self.begin[node] < self.begin[node + 1]
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def __getitem__(self, node: int) -> dict[int, int]:
+        return {self.by[to]: to for to in range(self.begin[node], self.begin[node + 1])}
+
+
+class PackedSets:
+    """Byte states, each a tuple of pairs of whole numbers, kept as bytes."""
+
+    _pair = Struct("<ii")
+
+    def __init__(self):
+        self._kept: list[bytes] = []
+        self._numbers: dict[bytes, int] = {}
+
+    def number(self, pairs: Iterable[tuple[int, int]]) -> int:
+        """The number of a state, a new one if need be."""
+        packed = b"".join([self._pair.pack(*x) for x in pairs])
+        new = self._numbers.setdefault(packed, len(self._kept))
+        if new == len(self._kept):
+            self._kept.append(packed)
+        return new
+
+    def __len__(self) -> int:
+        return len(self._kept)
+
+    def __getitem__(self, state: int) -> tuple[tuple[int, int], ...]:
+        return tuple(self._pair.iter_unpack(self._kept[state]))
+
+
 class TokenAutomaton:
     """Compiled from a byte-level BPE file of the tokenizers library."""
 
@@ -94,10 +158,10 @@ class TokenAutomaton:
                 self.labels[token] = bytes(letters[c] for c in word)
         for word, token in self.special.items():
             self.labels[token] = word.encode()
-        self.rank, self.left, self.right = ([-1] * len(self.labels) for _ in range(3))
-        self.enters = [0] * len(self.labels)
+        self.rank, self.left, self.right = (array("i", [-1]) * len(self.labels) for _ in range(3))
+        self.enters = array("i", [0]) * len(self.labels)
         self.gadget: dict[int, int] = {}
-        parent, without, made = [-1], [-1], [-1]
+        parent, without, made = (array("i", [-1]) for _ in range(3))
         reachable = {t for w, t in vocab.items() if len(w) == 1 and w in letters}
         for rank, (a, b) in enumerate(merges):
             u, v, uv = vocab[a], vocab[b], vocab[a + b]
@@ -113,26 +177,17 @@ class TokenAutomaton:
             self.gadget[u << 32 | v] = rank
             reachable.add(uv)
         self.parent, self.without, self.made = parent, without, made
-        #: The trie of labels: each node's children by byte, and the token that ends there.
-        self._next: list[dict[int, int]] = [{}]
-        self._ends = [-1]
-        for token in sorted(reachable):
-            node = 0
-            for byte in self.labels[token]:
-                if byte not in self._next[node]:
-                    self._next[node][byte] = len(self._next)
-                    self._next.append({})
-                    self._ends.append(-1)
-                node = self._next[node][byte]
-            self._ends[node] = token
+        #: The trie of labels, and the token that ends at each of its nodes.
+        self._next = Trie((self.labels[token], token) for token in reachable)
+        self._ends = self._next.ends
         self.sizes = [len(x) for x in self.labels]
         self._classes, self._spans = classes, re.compile(SPLIT).finditer
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         self._forget()
 
     def _forget(self) -> None:
-        start = ((0, -1),)
-        self._sets, self._numbers, self._table = [start], {start: 0}, {}
+        self._sets, self._table = PackedSets(), {}
+        self._sets.number([(0, -1)])
 
     @classmethod
     def from_file(cls, path: str) -> TokenAutomaton:
@@ -177,21 +232,18 @@ class TokenAutomaton:
         """The table's entry (next byte state, token of the arc that the byte completes)."""
         live, token = [], -1
         for node, before in self._sets[state]:
-            to = self._next[node].get(byte)
-            if to is None:
+            to = self._next.child(node, byte)
+            if to < 0:
                 continue
             ends = self._ends[to]
             if ends >= 0 and (before < 0 or self.has_arc(before, ends)):
                 token = ends
-            if self._next[to]:
+            if self._next.goes_on(to):
                 live.append((to, before))
         if token < 0:
             raise ValueError("the vocabulary has no token for some byte of this word")
         live.append((0, token))
-        key = tuple(live)
-        new = self._numbers.setdefault(key, len(self._sets))
-        if new == len(self._sets):
-            self._sets.append(key)
+        new = self._sets.number(live)
         self._table[state << 8 | byte] = new, token
         return new, token
 
@@ -247,7 +299,8 @@ class TokenAutomaton:
 
 @lru_cache(maxsize=2)
 def automaton(path: str) -> TokenAutomaton:
-    """A worker compiles a vocabulary once, until another operator takes it."""
+    """A worker compiles a vocabulary once, until another operator takes it; what others hold goes first."""
+    let_go()
     HELD["automaton"], HELD["classes"] = automaton.cache_clear, library_classes.cache_clear
     return TokenAutomaton.from_file(path)
 

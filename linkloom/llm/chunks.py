@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 SLICE_ROWS, SLICE_CHARS = 512, 1_000_000
 #: The same for slices that stay in Arrow: the more texts, the fewer distinct pieces a text.
 ARROW_ROWS, ARROW_CHARS = 8192, 3_000_000
+#: Runs of ids whose places are made at once.
+RUNS = 65_536
 #: Entries of a worker's memo, and the longest piece that is kept in it.
 MEMO_ENTRIES, MEMO_CHARS = 300_000, 24
 
@@ -73,6 +75,17 @@ def _places(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
+def _gathered(pool: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The runs of pool that begin at starts and are n long, one after the other; some at a time, so that their
+    places take little memory."""
+    ends = np.concatenate([[0], np.cumsum(n)])
+    out = np.empty(int(ends[-1]), pool.dtype)
+    for k in range(0, len(n), RUNS):
+        part = slice(k, k + RUNS)
+        np.take(pool, _places(starts[part], n[part]), out=out[ends[k] : ends[min(k + RUNS, len(n))]], mode="clip")
+    return out
+
+
 def _run_sizes(n: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(n)])[ends])
 
@@ -152,10 +165,10 @@ class Memo:
         pool = np.frombuffer(b"".join(values), "<u4")
         of = coded.indices.to_numpy()
         n, starts = sizes[of], (np.cumsum(sizes) - sizes)[of]
-        pool = pool[_places(starts, n)]
+        pool = _gathered(pool, starts, n)
         sizes = _run_sizes(n, piece_ends)
         n, starts = sizes[codes], (np.cumsum(sizes) - sizes)[codes]
-        return pool[_places(starts, n)], _run_sizes(n, ends)
+        return _gathered(pool, starts, n), _run_sizes(n, ends)
 
     def _pieces(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
         if not self.cuts or pc.any(pc.match_substring(chunks, _CUT)).as_py():
@@ -187,7 +200,7 @@ def _cuts(batch: pa.RecordBatch, column: str, rows: int, chars: int) -> Iterator
         yield batch.slice(begin)
 
 
-#: What empties the caches of encoders that this worker has made.
+#: What empties the caches that operators have made in this worker.
 HELD: dict[str, Callable[[], None]] = {}
 
 
@@ -198,24 +211,25 @@ def trimmed() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def let_go() -> None:
-    """Empties the caches of encoders. Spark gives a worker to operators that don't encode, too, and would
-    count these caches against them for as long as it lives."""
-    if HELD:
-        for empty in HELD.values():
-            empty()
-        HELD.clear()
+def let_go(but: str = "") -> None:
+    """Empties the caches that operators hold in this worker, but one. Spark gives a worker to one operator after
+    the other, and would count a cache against all of them for as long as it lives."""
+    others = [x for x in HELD if x != but]
+    for x in others:
+        HELD.pop(x)()
+    if others:
         gc.collect()
         trimmed()
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def text_slices(batches: Iterable[pa.RecordBatch], column: str, own: str = "") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """The batches in slices of bounded rows and characters, with the column's texts, null as empty: for operators
-    that don't encode, so what encoders hold in this worker goes."""
-    let_go()
+    that don't encode, so what others hold in this worker goes, but for the operator's own cache."""
+    let_go(own)
     for batch in batches:
         for part in _cuts(batch, column, SLICE_ROWS, SLICE_CHARS):
             yield part, part.column(column).fill_null("").to_pylist()
+        trimmed()
 
 
 def arrow_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import text_slices
+from .chunks import HELD, text_slices
 from .shared import content_key, content_sha, drop_written, hot_keys, kept_once, keyed_join, written
 
 #: Members, and shingles of them, of a tile on average: tiles, not groups, bound a task.
@@ -65,6 +65,8 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > 150_000:
             self.clear()
+        if not self:
+            HELD["words"] = self.clear
         h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
         if len(word) <= 64:
             self[word] = h
@@ -126,7 +128,7 @@ def band_keys(sig: np.ndarray, config: NearConfig) -> np.ndarray:
 
 def _sketches(docs: DataFrame, config: NearConfig) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_slices(batches, "text"):
+        for part, texts in text_slices(batches, "text", own="words"):
             n, digest, bands, sigs = [], [], [], []
             for text in texts:
                 hashes = shingle_set(text, config.shingle_words)
@@ -152,7 +154,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, config: NearConfig) -> DataFr
     texts = docs.select("id", "key", "text").join(wanted, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_slices(batches, "text"):
+        for part, texts in text_slices(batches, "text", own="words"):
             keep, sets = [], []
             for i, (text, digest) in enumerate(zip(texts, part.column("digest").to_pylist(), strict=True)):
                 packed = shingle_set(text, config.shingle_words).tobytes()

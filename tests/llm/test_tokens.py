@@ -1,8 +1,11 @@
 """Encoding, counting and token output against the libraries."""
 
+import gc
 import random
+import tracemalloc
 import weakref
 import zlib
+from functools import reduce
 from hashlib import sha256
 
 import numpy as np
@@ -12,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from linkloom.llm import bpe_automaton, chunks, queries, token_counts, token_output
+from linkloom.llm import bpe_automaton, chunks, near_dedup, queries, token_counts, token_output
 from linkloom.llm.shared import new_path
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -163,3 +166,23 @@ def test_other_operators_let_encoders_go():
     assert [part for _, part in chunks.text_slices([texts], "text")] == [["one", ""]]
     assert held() is None and bpe_automaton.library_classes.cache_info().currsize == 0
     assert bpe_automaton.automaton(BYTE).encode_packed(ODD) == ids
+
+
+def test_encoders_let_other_operators_go():
+    """A worker that an encoder takes doesn't keep near dedup's words; near dedup's own tasks do."""
+    bpe_automaton.automaton.cache_clear()
+    near_dedup.shingle_set("these words are kept", 2)
+    list(chunks.text_slices([], "text", own="words"))
+    assert near_dedup._WORDS
+    bpe_automaton.automaton(BYTE)
+    assert not near_dedup._WORDS
+
+
+def test_automaton_is_compact():
+    """Two workers of an executor hold it beside a full heap."""
+    tracemalloc.start()
+    machine = bpe_automaton.TokenAutomaton.from_file(BYTE)
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 22e6 and all(machine._ends[at] == t for t in (65, 300, 40_000) for at in [reduce(machine._next.child, machine.labels[t], 0)])
