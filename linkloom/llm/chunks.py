@@ -39,6 +39,7 @@ PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _L, _P = r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}", r"!-&(-/:-@\[-`{-~"
 _CUT = "\x01"
 _WORD_CUTS = ((rf"([{_L}])([{_P}])", rf"\1{_CUT}\2"), (rf"([{_P}])([{_L}])", rf"\1{_CUT}\2"))
+_CUTTABLE = rf"[{_P}\n]"
 _LINE_CUTS = ((rf"([{_L}{_P}])\n([{_L}{_P}])", f"\\1{_CUT}\n{_CUT}\\2"),)
 
 
@@ -173,11 +174,13 @@ class Memo:
     def _pieces(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
         if not self.cuts or pc.any(pc.match_substring(chunks, _CUT)).as_py():
             return chunks, np.arange(len(chunks) + 1)
-        marked = chunks
+        held = pc.match_substring_regex(chunks, _CUTTABLE)  # all others have nowhere to be cut
+        some = whole = chunks.filter(held)
         for pattern, put in self.cuts:
-            marked = pc.replace_substring_regex(marked, pattern, put)
+            some = pc.replace_substring_regex(some, pattern, put)
         if self.special:
-            marked = pc.if_else(pc.match_substring_regex(chunks, self.special), chunks, marked)
+            some = pc.if_else(pc.match_substring_regex(whole, self.special), whole, some)
+        marked = pc.replace_with_mask(chunks, held, some)
         lists = pc.split_pattern(marked, _CUT)
         return lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
 

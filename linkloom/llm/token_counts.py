@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe_automaton import byte_letters
 from .chunks import LETTERS, PUNCTUATION, Memo, arrow_slices, space_free, space_led
 from .shared import keyed_join, path_exists, written
 
@@ -99,28 +100,25 @@ def _memo(path: str) -> Memo:
 
 
 def _joined(tok, encode, cut):
-    """Encodes pieces side by side, in texts of many, where it shows in the ids where each begins: for
-    byte-level splitting, pieces of one leading space, whose first token begins with it; else, where the
-    last token of a word is marked as such, words of letters. Other pieces are encoded alone."""
+    """Encodes pieces by what their splitting allows. For byte-level splitting, letters with at most one space
+    before them are one word, which goes straight to the library's model. Else, where the last token of a word
+    is marked as such, words of letters are encoded side by side, in texts of many. Other pieces are encoded alone."""
     words = tok.get_vocab(with_added_tokens=True)
     special = "".join({c for t in tok.get_added_tokens_decoder().values() for c in t.content[:1]})
-    marks = np.zeros(max(words.values()) + 1, bool)
+    letters = f"[{re.escape(''.join(c for c in LETTERS if c not in special))}]+"
     if cut is space_led:
-        marks[[i for w, i in words.items() if w.startswith("\u0120")]] = True
-        plain_, between = re.compile(rf" [^\s{re.escape(special)}]+" if special else r" \S+").fullmatch, ""
+        plain_, of_plain = re.compile(f" ?{letters}").fullmatch, _by_model(tok)
     else:
+        marks = np.zeros(max(words.values()) + 1, bool)
         marks[[i for w, i in words.items() if w.endswith("</w>")]] = True
-        plain_, between = re.compile(f"[{re.escape(LETTERS)}]+").fullmatch if marks.any() else (lambda x: None), " "
+        plain_, of_plain = re.compile(letters).fullmatch if marks.any() else (lambda x: None), _side_by_side(encode, marks)
 
     def run(pieces: list[str]) -> Iterator[bytes]:
         out: list[bytes | None] = [None] * len(pieces)
         plain = [i for i, x in enumerate(pieces) if plain_(x)]
         for k in range(0, len(plain), BATCH):
             at = plain[k : k + BATCH]
-            ids = np.array(next(iter(encode([between.join(map(pieces.__getitem__, at))]))), "<u4")
-            found = (np.flatnonzero(marks[ids]) * 4).tolist()
-            ends = [*found[1:], 4 * len(ids)] if cut is space_led else [x + 4 for x in found]
-            whole = ids.tobytes()
+            whole, ends = of_plain([pieces[i] for i in at])
             for i, a, b in zip(at, [0, *ends], ends, strict=False):
                 out[i] = whole[a:b]
             if len(ends) != len(at):
@@ -133,6 +131,28 @@ def _joined(tok, encode, cut):
     return run
 
 
+def _by_model(tok):
+    """(packed ids, where each word's end) of words by the library's model, to which bytes are letters."""
+    model, letter = tok.model, {b: c for c, b in byte_letters().items()}
+
+    def run(words: list[str]) -> tuple[bytes, list[int]]:
+        found = [*map(model.tokenize, "\n".join(words).encode().decode("latin-1").translate(letter).split(letter[10]))]
+        ids = np.array([t.id for x in found for t in x], "<u4")
+        return ids.tobytes(), (np.cumsum([*map(len, found)]) * 4).tolist()
+
+    return run
+
+
+def _side_by_side(encode, marks: np.ndarray):
+    """The same by the whole library in one text, where marked tokens end a word."""
+
+    def run(words: list[str]) -> tuple[bytes, list[int]]:
+        ids = np.array(next(iter(encode([" ".join(words)]))), "<u4")
+        return ids.tobytes(), (np.flatnonzero(marks[ids]) * 4 + 4).tolist()
+
+    return run
+
+
 def encoded(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(the ids of all texts by the library one after the other, the number of each text's)."""
     encode, cut = library(path)

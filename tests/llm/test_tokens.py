@@ -186,3 +186,16 @@ def test_automaton_is_compact():
     held = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert held < 22e6 and all(machine._ends[at] == t for t in (65, 300, 40_000) for at in [reduce(machine._next.child, machine.labels[t], 0)])
+
+
+def test_words_go_straight_to_the_model():
+    library, asked = Tokenizer.from_file(BYTE), []
+
+    def encode(texts):
+        asked.extend(texts)
+        return [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+    words = [x for c in chunks.LETTERS for x in (f" a{c}", f"{c}bc", f" {c}")]
+    odd = ["<|endoftext|>", " a1", "  a", "", " "]
+    got = [np.frombuffer(x, "<u4").tolist() for x in token_counts._joined(library, encode, chunks.space_led)([*words, *odd])]
+    assert asked == odd and got == [library.encode(x, add_special_tokens=False).ids for x in [*words, *odd]]
