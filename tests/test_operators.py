@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +90,45 @@ def test_consensus(spark, records):
     assert got["S2-2"].nconf_others == 0 and got["S2-2"].bestn == 0 and got["S2-9"].nconf_others == 1
 
 
+SCORED = "country string, s1_id string, rec_id string, p1 double"
+MEMBER = "entity_id string, name string, address string, numbers array<string>, src string"
+
+
+def test_consensus_against_brute_force(spark):
+    """Copies, equal scores, no confident record, blank addresses, an id that records repeat, a record not there."""
+    texts = [("acme tool works", "1 main street"), ("acme tool works", ""), ("acme tools", "2 main street"), ("zeta", "9 side road")]
+    records = [(f"R{i}", *texts[i % 7 % 4], [texts[i % 7 % 4][1][:1]] if i % 3 else [], f"S{2 + i % 5 % 2}") for i in range(40)]
+    records += [("R3", "acme tool works", "1 main street", ["1"], "S2"), ("R3", "acme tools", "1 main street", ["1"], "S3"), ("R8", *records[8][1:])]
+    scored = [("US", f"E{i % 3}", f"R{i}", (0.5, 0.9, 0.9, 0.2, 0.7)[i % 5]) for i in range(42)] + [("US", "E3", "R1", 0.2), ("US", "E3", "R2", 0.8), ("FR", "E0", "R5", 0.9), ("US", "E4", "R8", 0.9)]
+    want = {}
+    for c, e, a, _ in scored:
+        pairs = [(x, y, pm) for c2, e2, m, pm in scored if (c2, e2) == (c, e) and m != a and pm >= 0.5 for x in records if x[0] == a for y in records if y[0] == m]
+        like = lambda p, q: 100 * len({*p.split()} & {*q.split()}) / len({*p.split()} | {*q.split()}) if p and q else 0.0
+        of = [(like(x[1], y[1]), like(x[2], y[2]), x, y, pm) for x, y, pm in pairs]
+        sup = [x[4] != y[4] for sn, sa, x, y, _ in of if sa >= 90 and sn >= 80]
+        others = sum((c2, e2) == (c, e) and m != a and pm >= 0.5 for c2, e2, m, pm in scored)
+        want[c, e, a] = (others, len(sup), sum(sup), max((sn * pm for sn, *_, pm in of), default=0), max((sa * pm for _, sa, *_, pm in of), default=0), sum(bool(x[3]) and x[3] == y[3] for *_, x, y, _ in of))
+    found = consensus.with_consensus(spark.createDataFrame(scored, SCORED), spark.createDataFrame(records, MEMBER), score=consensus.jaccard_100).collect()
+    assert len(found) == len(want) == len(scored)
+    for r in found:
+        assert (r.nconf_others, r.sup, r.cross, r.bestn, r.besta, r.numagree) == pytest.approx(want[r.country, r.s1_id, r.rec_id]), r
+
+
+def test_consensus_compares_forms_and_shuffles_no_pairs(spark):
+    """An entity of 600 copies made 359,400 pairs, which were shuffled with their texts."""
+    scores = spark.sparkContext.accumulator(0)
+
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        scores.add(len(a))
+        return (a == b) * 100.0
+
+    records = spark.range(600).select(F.concat(F.lit("R"), "id").alias("entity_id"), F.lit("acme").alias("name"), F.lit("1 main street").alias("address"), F.array(F.lit("1")).alias("numbers"), F.lit("S2").alias("src"))
+    scored = records.select(F.lit("US").alias("country"), F.lit("E").alias("s1_id"), F.col("entity_id").alias("rec_id"), F.lit(0.9).alias("p1"))
+    out = consensus.with_consensus(scored, records, score=F.pandas_udf(alike, "double"))
+    assert {(r.nconf_others, r.sup, r.cross, r.bestn, r.besta, r.numagree) for r in out.collect()} == {(599, 599, 0, 90.0, 90.0, 599)}
+    assert 0 < scores.value <= 4
+
+
 @pytest.mark.parametrize(("nt", "np", "tp", "want"), [(0, 0, 0, 1), (0, 1, 0, 0), (2, 0, 0, 0), (2, 3, 2, 5 / 7), (2, 1, 1, 5 / 6)])
 def test_fbeta(spark, nt, np, tp, want):
     assert abs(spark.range(1).select(metrics.fbeta(F.lit(nt), F.lit(np), F.lit(tp)).alias("f")).first().f - want) < 1e-12
