@@ -94,8 +94,10 @@ SCORED = "country string, s1_id string, rec_id string, p1 double"
 MEMBER = "entity_id string, name string, address string, numbers array<string>, src string"
 
 
-def test_consensus_against_brute_force(spark):
-    """Copies, equal scores, no confident record, blank addresses, an id that records repeat, a record not there."""
+@pytest.mark.parametrize("deal", [2, 100])
+def test_consensus_against_brute_force(spark, monkeypatch, deal):
+    """Copies, forms dealt over tasks, equal scores, no confident record, blank addresses, an id that records repeat, a record not there."""
+    monkeypatch.setattr(consensus, "DEAL", deal)
     texts = [("acme tool works", "1 main street"), ("acme tool works", ""), ("acme tools", "2 main street"), ("zeta", "9 side road")]
     records = [(f"R{i}", *texts[i % 7 % 4], [texts[i % 7 % 4][1][:1]] if i % 3 else [], f"S{2 + i % 5 % 2}") for i in range(40)]
     records += [("R3", "acme tool works", "1 main street", ["1"], "S2"), ("R3", "acme tools", "1 main street", ["1"], "S3"), ("R8", *records[8][1:])]

@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from linkloom.functions import similarity as S
@@ -38,3 +39,18 @@ def test_consensus_support(spark, small):
         others = [(m, p) for m, p in members[r.country, r.s1_id] if m != r.rec_id]
         assert r.nconf_others == len(others)
         assert abs(r.bestn - max((score[name[r.rec_id], name[m]] * p for m, p in others), default=0.0)) < 1e-9
+
+
+def test_consensus_support_scores_forms(spark, tmp_path, monkeypatch):
+    """All pairs of 200 copies were scored, some 40,000 times name and address."""
+    spark.range(200).selectExpr("id as doc_id", "'one two three four five six seven eight nine' as text", "'en' as lang").write.parquet(f"{tmp_path}/documents.parquet")
+    scores = spark.sparkContext.accumulator(0)
+
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        scores.add(len(a))
+        return (a == b) * 100.0
+
+    monkeypatch.setattr(S, "token_set_ratio", F.pandas_udf(alike, "double"))
+    rows = QUERIES["consensus_support_ratio"](spark, str(tmp_path)).collect()
+    assert len(rows) > 150 and max(r.sup for r in rows) > 100
+    assert 0 < scores.value < 200

@@ -4,6 +4,7 @@ Spark takes exploded rows to be as small as the rows they come from. At 0.1 GB o
 keys were broadcast for that, and the driver's memory ended the query."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +95,18 @@ def test_part_records_are_dealt_out(spark, small, monkeypatch):
     monkeypatch.setattr(catalogue, "stored", lambda df, label: df)
     assert fixtures.er_parts(spark, small).rdd.getNumPartitions() == 1
     assert catalogue._parts(spark, small).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    """Over 1 GB of documents the key joins' 3 GB stayed on disk beside all that followed."""
+
+    def files():
+        return {f for f in spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(" ").split() if "/shuffle_" in f}
+
+    there = files()
+    table = catalogue.stored(spark.range(1000).repartition(3, "id"), "test")
+    for _ in range(50):
+        if not files() - there:
+            break
+        time.sleep(0.1)
+    assert not files() - there and table.count() == 1000
